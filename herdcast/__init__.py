@@ -1 +1,9 @@
 """herdcast: herd parasite-count conforming, features, models and forecasts on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run inside tasks travel with them, so executors need no copy of
+# this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

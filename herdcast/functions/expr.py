@@ -141,26 +141,3 @@ def normal_cdf(x: Column) -> Column:
 def threshold_probability(mean: Column, threshold: float, sd: float | Column) -> Column:
     """P(count > threshold) for a log-scale normal with mean ``mean`` and deviation ``sd``."""
     return F.lit(1.0) - normal_cdf((F.lit(math.log(threshold + 1)) - mean) / sd)
-
-
-def _shifted(x: Column, steps: int, term) -> Column:
-    return reduce(lambda a, b: a + b, [term(x + F.lit(float(k))) for k in range(steps)])
-
-
-def digamma(x: Column) -> Column:
-    """Digamma by upward recurrence and the asymptotic series (x > 0)."""
-    z = x + 8.0
-    i2 = F.lit(1.0) / (z * z)
-    series = F.log(z) - F.lit(0.5) / z - i2 * (
-        F.lit(1 / 12) - i2 * (F.lit(1 / 120) - i2 * (F.lit(1 / 252) - i2 * (
-            F.lit(1 / 240) - i2 * F.lit(1 / 132)))))
-    return series - _shifted(x, 8, lambda v: F.lit(1.0) / v)
-
-
-def trigamma(x: Column) -> Column:
-    z = x + 8.0
-    i1 = F.lit(1.0) / z
-    i2 = i1 * i1
-    series = i1 + i2 / 2 + i1 * i2 * (
-        F.lit(1 / 6) - i2 * (F.lit(1 / 30) - i2 * (F.lit(1 / 42) - i2 * F.lit(1 / 30))))
-    return series + _shifted(x, 8, lambda v: F.lit(1.0) / (v * v))

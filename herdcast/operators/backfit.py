@@ -19,8 +19,8 @@ from herdcast.operators.group_model import level_counts
 from herdcast.schema import AGE_LEVELS, DOSE_CAT_LEVELS, SEX_LEVELS, ModelSpec
 
 TAGS = (4, 8, 12)
-_FLAG = {8: {4: "dose5_12wk", 8: "dose9_16wk", 12: "dose13_20wk"},
-         12: {4: "dose5_16wk", 8: "dose9_20wk", 12: "dose13_24wk"}}
+DOSE_FLAGS = {8: {4: "dose5_12wk", 8: "dose9_16wk", 12: "dose13_20wk"},
+              12: {4: "dose5_16wk", 8: "dose9_20wk", 12: "dose13_24wk"}}
 
 
 @dataclass
@@ -47,7 +47,7 @@ def prepare_rows(rows: DataFrame, spec: ModelSpec = ModelSpec()) -> DataFrame:
     out = rows.withColumns({
         f"residual_location{k}": F.col(f"loc_pred_{k}wk") - F.col(f"loc_obs_{k}wk") for k in TAGS})
     if spec.txrm and spec.txtime:
-        flags = _FLAG[spec.txtime]
+        flags = DOSE_FLAGS[spec.txtime]
         gone = {f"fec{k}wk": F.when(~F.col(flags[k]), F.col(f"fec{k}wk")) for k in TAGS}
         out = out.withColumns(gone)
         # a row whose own tier lost its count has no individual offset and leaves the fits
@@ -105,9 +105,9 @@ class Columns:
             if self.spec.individual_intercept:
                 parts["(Intercept)"] = F.lit(1.0)
             if k and self.spec.txtime and not self.spec.txrm:
-                flag = F.col(_FLAG[self.spec.txtime][k])
+                flag = F.col(DOSE_FLAGS[self.spec.txtime][k])
                 for label, hit in (("FALSE", ~flag), ("TRUE", flag)):
-                    parts[f"fec{k}wk:{_FLAG[self.spec.txtime][k]}{label}"] = \
+                    parts[f"fec{k}wk:{DOSE_FLAGS[self.spec.txtime][k]}{label}"] = \
                         F.when(hit, value).otherwise(F.lit(0.0))
             elif k:
                 parts[f"fec{k}wk"] = value
@@ -132,6 +132,42 @@ def _least_squares(gram: np.ndarray, reg: list[int], response: np.ndarray) -> np
     return out
 
 
+# The no-intercept models of one pass, by name.
+SLOPE_MODELS = {"residual_4": ("residual_location4",), "residual_8": ("residual_location8",),
+                "residual_12": ("residual_location12",), "ind_0": ("lastYearMeanFEC",),
+                "ind_4": ("fec4wk", "lastYearMeanFEC"), "ind_8": ("fec8wk", "lastYearMeanFEC"),
+                "ind_12": ("fec12wk", "lastYearMeanFEC")}
+
+
+def fit_offset_slopes(rows: DataFrame, models: dict[str, tuple[str, ...]], response: str = "Obs",
+                      offset: Column | None = None) -> DataFrame:
+    """No-intercept least squares with one or two regressors, all models in one aggregate.
+
+    Each model uses the rows where its regressors are present; the result is a lazy
+    table (model, term, estimate).
+    """
+    y = F.col(response) - (offset if offset is not None else F.lit(0.0))
+
+    def total(seen: Column, value: Column) -> Column:
+        return F.sum(F.when(seen, value))
+    out = []
+    for name, terms in models.items():
+        xs = [F.col(t) for t in terms]
+        seen = y.isNotNull()
+        for x in xs:
+            seen = seen & x.isNotNull()
+        if len(xs) == 1:
+            est = [total(seen, xs[0] * y) / total(seen, xs[0] * xs[0])]
+        else:
+            a, b, c = (total(seen, xs[i] * xs[j]) for i, j in ((0, 0), (0, 1), (1, 1)))
+            u, v = total(seen, xs[0] * y), total(seen, xs[1] * y)
+            det = a * c - b * b
+            est = [(c * u - b * v) / det, (a * v - b * u) / det]
+        out += [F.struct(F.lit(name).alias("model"), F.lit(t).alias("term"), e.alias("estimate"))
+                for t, e in zip(terms, est)]
+    return rows.agg(F.array(*out).alias("m")).select(F.inline("m"))
+
+
 def fit_backfit(rows: DataFrame, spec: ModelSpec = ModelSpec()) -> Backfit:
     """``rows`` (persisted, from ``prepare_rows``) to converged coefficients."""
     centre = {k: v for k, v in ft.center_means(rows).first().asDict().items() if v is not None}

@@ -44,8 +44,13 @@ def calendar_fill(daily: DataFrame, by: Sequence[str] = (), date: str = "Date")
     return span.agg(days.alias(date)).join(daily, [*by, date], "left")
 
 
+def half_even(col: str, digits: int) -> Column:
+    """Half-even rounding that first drops the noise of floating subtraction."""
+    return F.bround(F.round(col, 9), digits)
+
+
 def rounded(daily: DataFrame, digits: int, measures: Sequence[str] = WEATHER_MEASURES) -> DataFrame:
-    return daily.withColumns({m: F.bround(m, digits) for m in measures})
+    return daily.withColumns({m: half_even(m, digits) for m in measures})
 
 
 def with_calendar_parts(daily: DataFrame) -> DataFrame:
@@ -63,7 +68,7 @@ def for_year(daily: DataFrame, year: int) -> DataFrame:
             .select("Date", F.lit(year).alias("Year"), week.alias("Week"),
                     (F.weekday("Date") + 1).alias("WeekDay"), F.month("Date").alias("Month"),
                     F.dayofmonth("Date").alias("Day"),
-                    *[F.bround(m, 1).alias(m) for m in WEATHER_MEASURES]))
+                    *[half_even(m, 1).alias(m) for m in WEATHER_MEASURES]))
 
 
 def reattribute_year(weather: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from herdcast.functions import expr as X
 from herdcast.operators import features as ft
 from herdcast.operators import lags as L
+from herdcast.operators.backfit import DOSE_FLAGS
 from herdcast.operators.group_model import GroupFit, predict_single
 from herdcast.plans.train import FittedModels
 from herdcast.schema import Options
@@ -160,8 +161,7 @@ def predict_animals(rows: DataFrame, models: FittedModels, threshold: float) ->
         f = less(f"fec{k}wk", f"fec{k}wkmean")
         values = {f"fec{k}wk": f, "lastYearMeanFEC": last, "(Intercept)": one}
         if spec.txtime:
-            from herdcast.operators.backfit import _FLAG
-            flag = _FLAG[spec.txtime][k]
+            flag = DOSE_FLAGS[spec.txtime][k]
             values[f"fec{k}wk:{flag}TRUE"] = F.when(F.col(flag), f).otherwise(F.lit(0.0))
             values[f"fec{k}wk:{flag}FALSE"] = F.when(~F.col(flag), f).otherwise(F.lit(0.0))
         own_offset = F.when(F.col(f"fec{k}wk").isNotNull(),

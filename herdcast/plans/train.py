@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdcast.operators import checks as C
 from herdcast.operators import features as ft
 from herdcast.operators import lags as L
 from herdcast.operators import weather as wx
-from herdcast.operators.backfit import Backfit, fit_backfit, prepare_rows
+from herdcast.operators.backfit import DOSE_FLAGS, Backfit, fit_backfit, prepare_rows
 from herdcast.operators.group_model import GroupFit, fit_group_model, predict_excluded
 from herdcast.operators.negbin import NegBinFit, fit_dispersion, prepare
 from herdcast.schema import ModelSpec, Options
+from herdcast.session import materialise
 
 
 @dataclass
@@ -44,11 +44,6 @@ class FittedModels:
     group_data: DataFrame
     rolling: DataFrame
     rows: DataFrame
-    held: list[DataFrame] = field(default_factory=list)
-
-    def release(self) -> None:
-        for df in self.held:
-            df.unpersist()
 
 
 def validate_tables(tables: HerdTables) -> None:
@@ -96,32 +91,31 @@ def training_rows(rows: DataFrame, spec: ModelSpec) -> DataFrame:
 
 def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Options = Options(),
                years: Sequence[int] | None = None, validate: bool = False) -> FittedModels:
-    """The whole chain. Two frames are persisted, location-weeks and individual rows; every
-    pass over them is an aggregate whose result is a few small matrices."""
+    """The whole chain.
+
+    Frames that several passes read (facts, location-weeks, individual rows) are written once
+    to the shared folder; every pass over them is an aggregate whose result is a few small
+    matrices.
+    """
     if years is not None:
         tables = tables.years(years)
     if validate:
         validate_tables(tables)
-    keep = StorageLevel.MEMORY_AND_DISK
-    facts = ft.filter_season(tables.fec, options).persist(keep)
+    facts = materialise(ft.filter_season(tables.fec, options), "facts")
     tables = HerdTables(tables.locations, tables.animal, facts, tables.weather)
-    rolling = wx.rolling_weather(tables.weather).persist(keep)
-    group_data = ft.group_model_data(facts, tables.animal, tables.locations, rolling,
-                                     options).persist(keep)
+    rolling = materialise(wx.rolling_weather(tables.weather), "rolling")
+    group_data = materialise(ft.group_model_data(facts, tables.animal, tables.locations, rolling,
+                                                 options), "group")
     group = fit_group_model(group_data, spec, options)
-    rows = predicted_rows(tables, group, rolling, options, spec).persist(keep)
-    train = training_rows(rows, spec).persist(keep)
+    rows = materialise(predicted_rows(tables, group, rolling, options, spec), "rows")
+    train = materialise(training_rows(rows, spec), "train")
     if spec.txtime and not spec.txrm:
-        from herdcast.operators.backfit import _FLAG
-        C.require(C.dosing_leverage(train, list(_FLAG[spec.txtime].values())).filter("NOT ok"),
+        flags = DOSE_FLAGS[spec.txtime]
+        C.require(C.dosing_leverage(train, list(flags.values())).filter("NOT ok"),
                   "too few treated or untreated rows")
     chain = fit_backfit(train, spec)
-    data = prepare(train.withColumn("totpred", chain.total)).persist(keep)
-    dispersion = fit_dispersion(data)
-    data.unpersist()
-    rows.unpersist()
-    return FittedModels(group, chain, dispersion, spec, options, group_data, rolling, train,
-                        [facts, rolling, group_data, train, group.folds])
+    dispersion = fit_dispersion(prepare(train.withColumn("totpred", chain.total)))
+    return FittedModels(group, chain, dispersion, spec, options, group_data, rolling, train)
 
 
 def compare_without_last_year(tables: HerdTables, spec: ModelSpec = ModelSpec(),
@@ -134,6 +128,3 @@ def compare_without_last_year(tables: HerdTables, spec: ModelSpec = ModelSpec(),
     shorter = fit_models(tables, spec, options, range(span["first_year"], span["last_year"]))
     return every, shorter
 
-
-def total_prediction(models: FittedModels) -> Column:
-    return models.chain.total

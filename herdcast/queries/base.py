@@ -211,6 +211,10 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
                  ("fec", "animal", "loc_summary")),
 }
 
+VIEWS["full_rows"] = ("""
+    SELECT g.*, r.* EXCLUDE (Year, Week, Monday) FROM group_rows g LEFT JOIN rolling r
+    ON g.Year = r.Year AND g.Week = r.Week AND g.Monday = r.Monday""", ("group_rows", "rolling"))
+
 
 def _band(lo: int, hi: int) -> str:
     return f"BETWEEN INTERVAL {7 * hi} DAY PRECEDING AND INTERVAL {7 * lo} DAY PRECEDING"

@@ -94,7 +94,7 @@ def impute_linear(spark, d):
 
 
 @query("weather_cache_write", f"""
-SELECT c.Date, {', '.join(f'round_even(w.{m}, 2) + 0 AS {m}' for m in _M)}
+SELECT c.Date, {', '.join(f'round_even(round(w.{m}, 9), 2) + 0 AS {m}' for m in _M)}
 FROM {_CAL} c LEFT JOIN {_SPARSE} w ON c.Date = w.Date""", ["weather"])
 def weather_cache_write(spark, d):
     from herdcast.queries.base import scratch
@@ -108,12 +108,12 @@ def weather_cache_write(spark, d):
 
 @query("week_backnumber", f"""
 SELECT Date, CAST(Y AS INT) AS Year, CAST((date_trunc('week', Date)::DATE - fm) / 7 + 1 AS INT) AS Week,
-  isodow(Date) AS WeekDay, Month, Day, {', '.join(f'round_even({m}, 1) + 0 AS {m}' for m in _M)}
+  isodow(Date) AS WeekDay, Month, Day, {', '.join(f'round_even(round({m}, 9), 1) + 0 AS {m}' for m in _M)}
 FROM (SELECT w.*, y.Y, CAST(date_trunc('week', make_date(y.Y, 1, 7)) AS DATE) AS fm
-      FROM weather w CROSS JOIN (SELECT 1995 AS Y) y WHERE w.Year IN (y.Y, y.Y - 1))
+      FROM weather w CROSS JOIN (SELECT 1997 AS Y) y WHERE w.Year IN (y.Y, y.Y - 1))
 WHERE (date_trunc('week', Date)::DATE - fm) / 7 + 1 >= -36""", ["weather"])
 def week_backnumber(spark, d):
-    return wx.for_year(fx.weather(spark, d), 1995)
+    return wx.for_year(fx.weather(spark, d), 1997)
 
 
 @query("reattribute_year", f"""
@@ -271,11 +271,12 @@ def join_dense_weeks(spark, d):
 
 
 @query("join_anti", """
-SELECT Date, Temp_avg FROM weather_f WHERE Date NOT IN (SELECT Date FROM weather_o)""",
-       ["weather_f", "weather_o"])
+SELECT Date, Temp_avg FROM weather WHERE Date NOT IN
+  (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P')""", ["weather"])
 def join_anti(spark, d):
-    return (fx.weather(spark, d, "F").join(fx.weather(spark, d, "O"), "Date", "left_anti")
-            .select("Date", "Temp_avg"))
+    cached = (fx.table(spark, d, "orders").filter("o_orderstatus = 'P'")
+              .select(F.col("o_orderdate").cast("date").alias("Date")))
+    return fx.weather(spark, d).join(cached, "Date", "left_anti").select("Date", "Temp_avg")
 
 
 @query("join_semi", """

@@ -204,9 +204,9 @@ def check_dosing_leverage(spark, d):
 
 
 @query("filter_years_last_n", """
-SELECT Year, count(*) AS n FROM counts WHERE Year BETWEEN 1993 AND 1996 GROUP BY 1""", ["counts"])
+SELECT Year, count(*) AS n FROM counts WHERE Year BETWEEN 1996 AND 1999 GROUP BY 1""", ["counts"])
 def filter_years_last_n(spark, d):
-    return (ft.filter_years(fx.weekly_counts(spark, d), as_of_year=1997, n_years=4)
+    return (ft.filter_years(fx.weekly_counts(spark, d), as_of_year=2000, n_years=4)
             .groupBy("Year").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -219,10 +219,10 @@ def filter_season(spark, d):
 
 @query("coverage_check", """
 SELECT min(Date) AS first_day, max(Date) AS last_day,
-  min(Date) <= DATE '1993-01-01' - 259 AS start_ok, max(Date) >= DATE '1999-06-01' - 7 AS end_ok
+  min(Date) <= DATE '1996-01-01' - 259 AS start_ok, max(Date) >= DATE '2001-06-01' - 7 AS end_ok
 FROM weather""", ["weather"])
 def coverage_check(spark, d):
-    return C.coverage_dates(fx.weather(spark, d), 1993, "1999-06-01")
+    return C.coverage_dates(fx.weather(spark, d), 1996, "2001-06-01")
 
 
 @query("rolling_coverage", f"""

@@ -42,11 +42,11 @@ def save_archive(spark, d):
     return _tally(archive.load_archive(spark, path, validate=False))
 
 
-@query("load_archive", _tally_sql("Year IN (1994, 1995)", "Year IN (1993, 1994, 1995)"), _VIEWS)
+@query("load_archive", _tally_sql("Year IN (1997, 1998)", "Year IN (1996, 1997, 1998)"), _VIEWS)
 def load_archive(spark, d):
     path = scratch(spark, "archive")
     archive.save_archive(_tables(spark, d), path)
-    return _tally(archive.load_archive(spark, path, years=(1994, 1995), validate=False))
+    return _tally(archive.load_archive(spark, path, years=(1997, 1998), validate=False))
 
 
 @query("hourly_weather_stream", f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,7 +40,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives the loss of any executor."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back.
+
+    Used where several passes follow: later plans start from a pruned columnar scan instead
+    of the whole lineage, and the loss of an executor costs no recomputation.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/herdcast/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

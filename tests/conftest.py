@@ -15,7 +15,7 @@ MEDIUM = "/root/testdata/sf0.01"
 def spark():
     from herdcast.session import build_session
     session = build_session("local[8]", "tests", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="herdcast-tests-")})
     session.sparkContext.setLogLevel("ERROR")

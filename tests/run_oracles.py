@@ -19,7 +19,7 @@ def main() -> int:
 
     from herdcast.session import build_session
     spark = build_session("local[8]", "oracles", **{
-        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="herdcast-oracles-")})
     spark.sparkContext.setLogLevel("ERROR")
