@@ -1,6 +1,6 @@
 """Time the headline queries; prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all), BENCH_RUNS (default 3;
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default all), BENCH_RUNS (default 1;
 the model fit and what follows it run once). Every query is run once to warm up, then the
 median of the timed runs counts. Results go to a sink that computes all rows and keeps none.
 """
@@ -25,7 +25,7 @@ LIGHT = ("group_week_summary", "last_dose_weeks", "rolling_weather", "lag_mean_f
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "*")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     from herdcast.queries import models, queries
     from herdcast.session import build_session
     n = os.cpu_count() if cpus == "*" else int(cpus)
