@@ -112,8 +112,7 @@ def location_week_means(rows: DataFrame, prediction: str | None = None) -> DataF
 
 def history_features(rows: DataFrame, lastyear: bool = True) -> DataFrame:
     """Individual rows with their own lags and last-year mean; incomplete rows are left out."""
-    out = L.history_lags(rows).join(
-        L.animal_year_mean(rows, up_to_last_year=False), ["AnimalID", "Location", "Farm", "Year"], "left")
+    out = L.history_lags(rows, last_year=True)
     out = out.dropna(subset=["FEC", "Sex", "AgeCat", "LastDose"])
     out = out.withColumns({"Obs": F.log1p("FEC"), "Tier": L.availability_tier(lastyear)})
     if lastyear:

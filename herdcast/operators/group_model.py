@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from herdcast.operators import mixed as mx
 from herdcast.schema import HYGIENE_LEVELS, ModelSpec, Options
 
-MAX_LEVELS = 2000      # a fixed-effect factor is dummy coded, so its Gram matrix must stay small
+MAX_LEVELS = 200       # a fixed-effect factor is dummy coded, so its Gram matrix must stay small
 
 
 def level_counts(df: DataFrame, col: str) -> list[str]:

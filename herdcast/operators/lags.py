@@ -20,7 +20,7 @@ FEC_BANDS = {"fec4wk": (3, 5), "fec8wk": (7, 9), "fec12wk": (11, 13)}
 DOSE_BANDS = {"dose5_12wk": (5, 12), "dose5_16wk": (5, 16), "dose9_16wk": (9, 16),
               "dose9_20wk": (9, 20), "dose13_20wk": (13, 20), "dose13_24wk": (13, 24)}
 LOOKBACK_DAYS = 24 * 7
-BLOCK_DAYS = 728
+YEAR_LOOKBACK_DAYS = 2 * 371        # the whole of the year before, from any day of a year
 
 
 def _frame(order: WindowSpec, band: tuple[int, int]) -> WindowSpec:
@@ -38,12 +38,20 @@ def lag_dose_columns(order: WindowSpec, dose: str = "Dose") -> dict[str, Column]
 
 
 def history_lags(facts: DataFrame, entity: Sequence[str] = ("AnimalID",),
-                 mean: bool = True, dose: bool = True) -> DataFrame:
-    """Mean log count and any-treatment flags over the lag bands of each animal."""
+                 mean: bool = True, dose: bool = True, last_year: bool = False) -> DataFrame:
+    """Mean log count and any-treatment flags over the lag bands of each animal.
+
+    ``last_year`` adds the log mean count of the animal's previous year at the same
+    location; with blocks that reach back that far, it needs no shuffle of its own.
+    """
     pos = cal.day_number(F.col("Monday"))
-    rows = B.with_blocks(facts.withColumn("_pos", pos), F.col("_pos"), LOOKBACK_DAYS, BLOCK_DAYS)
+    lookback = YEAR_LOOKBACK_DAYS if last_year else LOOKBACK_DAYS
+    rows = B.with_blocks(facts.withColumn("_pos", pos), F.col("_pos"), lookback, 4 * lookback)
     order = W.partitionBy(*entity, B.BLOCK).orderBy("_pos")
     cols = {}
+    if last_year:
+        year = W.partitionBy(*entity, B.BLOCK, "Location", "Farm").orderBy("Year")
+        cols["lastYearMeanFEC"] = F.log1p(F.avg("FEC").over(year.rangeBetween(-1, -1)))
     if mean:
         cols |= lag_mean_columns(order)
     if dose:
@@ -59,7 +67,8 @@ def lag_weighted_mean(means: DataFrame, value: dict[str, str], n: str = "NFEC",
     loc_obs_4wk, loc_obs_8wk, loc_obs_12wk; loc_n_* is the number of counts behind them.
     """
     pos = cal.day_number(F.col("Monday"))
-    rows = B.with_blocks(means.withColumn("_pos", pos), F.col("_pos"), LOOKBACK_DAYS, BLOCK_DAYS)
+    rows = B.with_blocks(means.withColumn("_pos", pos), F.col("_pos"), LOOKBACK_DAYS,
+                         4 * LOOKBACK_DAYS)
     order = W.partitionBy(*entity, B.BLOCK).orderBy("_pos")
     cols = {}
     for tag, band in (("4wk", (3, 5)), ("8wk", (7, 9)), ("12wk", (11, 13))):
@@ -72,18 +81,14 @@ def lag_weighted_mean(means: DataFrame, value: dict[str, str], n: str = "NFEC",
     return B.core_rows(rows.withColumns(cols)).drop("_pos")
 
 
-def animal_year_mean(facts: DataFrame, up_to_last_year: bool = True) -> DataFrame:
-    """log(mean count + 1) of each animal's year at a location, keyed by the following year.
-
-    A left join to the facts needs no ``up_to_last_year`` bound, as later years match nothing.
-    """
-    out = (facts.groupBy("AnimalID", "Location", "Farm", "Year")
-           .agg(F.log1p(F.avg("FEC")).alias("lastYearMeanFEC"))
-           .filter(F.col("lastYearMeanFEC").isNotNull())
-           .withColumn("Year", F.col("Year") + 1))
-    if up_to_last_year:
-        out = out.filter(F.col("Year") <= facts.agg(F.max("Year")).scalar())
-    return out
+def animal_year_mean(facts: DataFrame) -> DataFrame:
+    """log(mean count + 1) of each animal's year at a location, keyed by the following year."""
+    last = facts.agg(F.max("Year")).scalar()
+    return (facts.groupBy("AnimalID", "Location", "Farm", "Year")
+            .agg(F.log1p(F.avg("FEC")).alias("lastYearMeanFEC"))
+            .filter(F.col("lastYearMeanFEC").isNotNull())
+            .withColumn("Year", F.col("Year") + 1)
+            .filter(F.col("Year") <= last))
 
 
 def latest_row(facts: DataFrame, entity: Sequence[str] = ("AnimalID",), order: str = "Monday",

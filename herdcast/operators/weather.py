@@ -178,24 +178,41 @@ def source_agreement(first: DataFrame, second: DataFrame, names: tuple[str, str]
 
 
 def impute_linear(daily: DataFrame, by: Sequence[str] = (),
-                  measures: Sequence[str] = WEATHER_MEASURES) -> DataFrame:
+                  measures: Sequence[str] = WEATHER_MEASURES, block_days: int = 1456) -> DataFrame:
     """Fill gaps on the straight line between their neighbours; ends repeat the nearest value.
 
-    The input is one row per calendar day of a site (``calendar_fill``), so a window group
-    is as long as the calendar, whatever the volume of readings behind it.
+    The axis is cut into blocks. Each block reports its first and last known point, the
+    nearest known points outside it are looked up among those few rows, and the rest is a
+    window inside the block, so no task holds a whole series and gaps may be of any length.
     """
-    order = W.partitionBy(*by).orderBy("_pos")
+    rows = (daily.withColumn("_pos", cal.day_number(F.col("Date")))
+            .withColumn(B.BLOCK, F.floor(F.col("_pos") / block_days).cast("long")))
+
+    def point(m: str) -> Column:
+        return F.when(F.col(m).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(m).alias("v")))
+    keys = [*by, B.BLOCK]
+    ends = rows.groupBy(*keys).agg(
+        *[F.min_by(point(m), F.when(F.col(m).isNotNull(), F.col("_pos"))).alias(f"_first_{m}")
+          for m in measures],
+        *[F.max_by(point(m), F.when(F.col(m).isNotNull(), F.col("_pos"))).alias(f"_last_{m}")
+          for m in measures])
+    among = W.partitionBy(*by).orderBy(B.BLOCK)
+    ends = ends.select(
+        *keys,
+        *[F.last(f"_last_{m}", True).over(among.rowsBetween(W.unboundedPreceding, -1))
+          .alias(f"_before_{m}") for m in measures],
+        *[F.first(f"_first_{m}", True).over(among.rowsBetween(1, W.unboundedFollowing))
+          .alias(f"_after_{m}") for m in measures])
+    order = W.partitionBy(*keys).orderBy("_pos")
     back = order.rowsBetween(W.unboundedPreceding, 0)
     ahead = order.rowsBetween(0, W.unboundedFollowing)
     filled = {}
     for m in measures:
-        point = F.when(F.col(m).isNotNull(),
-                       F.struct(F.col("_pos").alias("p"), F.col(m).alias("v")))
-        lo, hi = F.last(point, True).over(back), F.first(point, True).over(ahead)
+        lo = F.coalesce(F.last(point(m), True).over(back), F.col(f"_before_{m}"))
+        hi = F.coalesce(F.first(point(m), True).over(ahead), F.col(f"_after_{m}"))
         share = (F.col("_pos") - lo["p"]) / F.nullif(hi["p"] - lo["p"], F.lit(0))
         filled[m] = F.coalesce(F.col(m), lo["v"] + (hi["v"] - lo["v"]) * share, lo["v"], hi["v"])
-    return (daily.withColumn("_pos", cal.day_number(F.col("Date")))
-            .withColumns(filled).drop("_pos"))
+    return rows.join(ends, keys).withColumns(filled).select(*daily.columns)
 
 
 def impute_gaps(daily: DataFrame, by: Sequence[str] = (),

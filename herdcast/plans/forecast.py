@@ -19,6 +19,7 @@ from herdcast.operators.backfit import DOSE_FLAGS
 from herdcast.operators.group_model import GroupFit, predict_single
 from herdcast.plans.train import FittedModels
 from herdcast.schema import Options
+from herdcast.session import materialise
 
 RISK_THRESHOLDS = {"VeryHigh": 600.0, "High": 1000.0, "Normal": 2000.0}
 PAST, FUTURE = "past", "future"
@@ -177,18 +178,26 @@ def predict_animals(rows: DataFrame, models: FittedModels, threshold: float) ->
                     F.bround(prob, 2).alias("ThresholdProbability"), "ObservedFEC", "LastDose"))
 
 
+def sheet_facts(fec: DataFrame, models: FittedModels) -> DataFrame:
+    """Facts at known locations whose target week has weather."""
+    return limit_to_weather(fec.filter(F.col("Location").isNotNull()), models.rolling)
+
+
 def forward_predict(fec: DataFrame, animal: DataFrame, locations: DataFrame,
                     models: FittedModels, threshold: float = 2000.0) -> DataFrame:
-    """Predictions of every animal four weeks after every sampling of its location."""
+    """Predictions of every animal four weeks after every sampling of its location.
+
+    The facts and the animal states are written once, as several branches read each.
+    """
     options = models.options
-    facts = limit_to_weather(fec.filter(F.col("Location").isNotNull()), models.rolling)
+    facts = materialise(sheet_facts(fec, models), "sheet-facts")
     samplings = ft.sampling_events(facts, animal, locations, options)
     hyg = locations.select("Farm", "Location", "Year", "Hygiene")
     attrs = (animal.filter(F.col("Location").isNotNull())
              .select("AnimalID", "Location", "Year", "Farm", "Sex", "Age", "AgeCat", "AvFEC")
              .join(hyg, ["Farm", "Location", "Year"], "left"))
-    features = forecast_features(facts, samplings).join(
-        attrs, ["AnimalID", "Location", "Year"], "left")
+    features = materialise(forecast_features(facts, samplings).join(
+        attrs, ["AnimalID", "Location", "Year"], "left"), "forecast-features")
     state = predicted_state(features, models.group, models.rolling, options)
     recent = group_residual_recent(
         samplings.select("Location", "Year", "Week"), state)
@@ -282,8 +291,8 @@ def get_predictions(fec: DataFrame, animal: DataFrame, locations: DataFrame, mod
     if not 0 < prob_threshold < 1:
         raise ValueError("prob_threshold must lie strictly between 0 and 1")
     raw = forward_predict(fec, animal, locations, models, max(thresholds.values()))
-    facts = limit_to_weather(fec.filter(F.col("Location").isNotNull()), models.rolling)
-    samplings = ft.sampling_events(facts, animal, locations, models.options).drop("n")
+    samplings = ft.sampling_events(sheet_facts(fec, models), animal, locations,
+                                   models.options).drop("n")
     if not validate_only:
         samplings = samplings.withColumn("Week", F.col("Week") + 4)
     mean_fec = math.expm1(models.chain.centering.get("feclastyearmean", 0.0))

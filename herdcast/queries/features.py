@@ -13,6 +13,7 @@ from herdcast.operators import weather as wx
 from herdcast.queries.base import (abs_hum, dose_prop, lag_dose_sql, lag_mean_sql, query, rel_hum,
                                    rolling_view, round_doubles, s6)
 from herdcast.schema import WEATHER_MEASURES
+from herdcast.session import materialise
 
 _M = WEATHER_MEASURES
 
@@ -351,8 +352,9 @@ SELECT AnimalID, Location, Farm, CAST(Year AS INT) AS Year,
   {s6('lastYearMeanFEC')} AS lastYearMeanFEC
 FROM year_mean WHERE Year <= (SELECT max(Year) FROM ind_rows)""", ["year_mean", "ind_rows"])
 def animal_year_mean_lagged(spark, d):
-    rows = ft.individual_rows(*_frames(spark, d))
-    return round_doubles(L.animal_year_mean(rows))
+    home = fx.animal(spark, d).select("AnimalID", "Location", "Year", "Farm")
+    rows = ft.filter_season(fx.fec(spark, d)).join(home, ["AnimalID", "Location", "Year"])
+    return round_doubles(L.animal_year_mean(materialise(rows, "facts")))
 
 
 @query("sampling_events", f"""

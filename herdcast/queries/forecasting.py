@@ -12,6 +12,7 @@ from herdcast.plans import forecast as fc
 from herdcast.plans import report
 from herdcast.queries.base import query, r6, round_doubles, s6
 from herdcast.queries.models import fitted, herd, pm
+from herdcast.session import materialise
 
 
 def _cut(cond: str) -> str:
@@ -43,7 +44,7 @@ GROUP BY g.AnimalID, g.Location, g.Year, g.Target, g.Kind"""
 
 @query("forecast_features", _FEATURES, ["fec"])
 def forecast_features(spark, d):
-    facts = fx.fec(spark, d)
+    facts = materialise(fx.fec(spark, d), "facts")
     samplings = ft.sampling_events(facts, fx.animal(spark, d), fx.locations(spark, d))
     return round_doubles(fc.forecast_features(facts, samplings))
 
