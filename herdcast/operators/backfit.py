@@ -257,7 +257,7 @@ def _common(total: mx.Moments, nodes: np.ndarray, xs: list[int], response: np.nd
     proj[xs, range(p)] = 1.0
     proj[:, p] = response
     c = total.terms[:, :-1].reshape(-1, q, q)
-    small = np.einsum("iq,nij,jr->nqr", proj, c, proj, optimize=True)
+    small = np.matmul(proj.T, np.matmul(c, proj))
     terms = np.column_stack([small.reshape(len(c), -1), total.terms[:, -1]])
     flat = np.append(total.flat_by_year[0][:-1] @ proj, total.flat_by_year[0][-1])
     by = np.concatenate([total.by_year[0][:, :-1] @ proj, total.by_year[0][:, -1:]], axis=1)

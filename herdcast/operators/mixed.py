@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 N_NODES = 96
 SCALED_RANGE = (1e-4, 1e6)     # ratio times mean group weight
 SALTS = 16
+SPREAD, SPREAD_OVER = "_part", 64
 
 
 # ----------------------------------------------------------------- numeric core (small arrays)
@@ -117,7 +118,7 @@ class Problem:
         zero = np.isneginf(t)
         w = interpolation_weights(self.nodes, np.where(zero, self.nodes[0], t))
         w[zero] = 0.0
-        terms = w @ self.m.terms
+        terms = np.einsum("tn,nk->tk", w, self.m.terms)
         a = self.m.gram[None] - terms[:, :-1].reshape(len(t), self.q, self.q)
         by = np.einsum("tn,ynk->tyk", w, self.m.by_year)
         by[zero] = self.m.flat_by_year[None]
@@ -262,6 +263,11 @@ def _sum_blobs(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
         _add_blobs(keys), _schema(parts, keys))
 
 
+def _spread(parts: DataFrame) -> DataFrame:
+    """Number the partial sums so that they are added up by many tasks before the driver."""
+    return parts.withColumn(SPREAD, F.pmod(F.spark_partition_id(), F.lit(SPREAD_OVER)))
+
+
 @dataclass
 class Accumulated:
     """Fold-wise sums of one design, still distributed, and what is needed to read them."""
@@ -294,8 +300,8 @@ def accumulate(rows: DataFrame, cols: Sequence[str], weight: Column, group: Sequ
         per_group = per_group.repartition(*fold, salt)
     terms = per_group.select(*fold, "_w", *cols).mapInPandas(
         _node_partials(cols, fold, nodes), _schema(rows, fold))
-    if fold:
-        grams, terms = _sum_blobs(grams, fold), _sum_blobs(terms, fold)
+    grams, terms = (_sum_blobs(d if fold else _spread(d), fold or [SPREAD])
+                    for d in (grams, terms))
     return Accumulated(cols, fold, nodes, grams.persist(), terms.persist())
 
 
@@ -313,7 +319,7 @@ def total_moments(acc: Accumulated, year: str | None = None) -> Moments:
     def read(df: DataFrame) -> dict:
         if year:
             return {r[0]: np.frombuffer(r[1]) for r in _sum_blobs(df, [year]).collect()}
-        return {None: sum(np.frombuffer(r["blob"]) for r in df.select("blob").toLocalIterator())}
+        return {None: sum(np.frombuffer(r["blob"]) for r in df.select("blob").collect())}
     grams, terms = read(acc.grams), read(acc.terms)
     names = sorted(terms, key=lambda k: (k is None, k))
     parts = [_unpack(grams[k], terms[k], q, nn) for k in names]

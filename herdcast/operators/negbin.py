@@ -53,7 +53,7 @@ def _gamma_sums(theta: float):
         for pdf in batches:
             a0, a1 = polygamma01(pdf["y"].to_numpy(dtype="float64") + theta)
             w = pdf["w"].to_numpy(dtype="float64")
-            yield pd.DataFrame({"g0": [float(w @ (a0 - d0))], "g1": [float(w @ (a1 - d1))]})
+            yield pd.DataFrame({"st": [float(w @ (a0 - d0))], "ht": [float(w @ (a1 - d1))]})
     return run
 
 
@@ -82,13 +82,17 @@ def fit_dispersion(data: DataFrame, tol: float = 1e-8, max_iter: int = 60) -> Ne
         mu = F.exp(x * F.lit(beta))
         both = th + mu
         ratio = (y + th) / both
-        s = data.agg(F.sum(w * x * (y - mu) * th / both).alias("sb"),
-                     F.sum(w * x * x * mu * th / both).alias("ib"),
-                     F.sum(w * (F.lit(1 + log_theta) - F.log(both) - ratio)).alias("st"),
-                     F.sum(w * (F.lit(1 / theta) - (F.lit(2.0) - ratio) / both)).alias("ht")).first()
-        g = counts.mapInPandas(_gamma_sums(theta), "g0 double, g1 double").agg(
-            F.sum("g0"), F.sum("g1")).first()
-        score, hess = s["st"] + g[0], s["ht"] + g[1]
+        sums = data.agg(
+            F.sum(w * x * (y - mu) * th / both).alias("sb"),
+            F.sum(w * x * x * mu * th / both).alias("ib"),
+            F.sum(w * (F.lit(1 + log_theta) - F.log(both) - ratio)).alias("st"),
+            F.sum(w * (F.lit(1 / theta) - (F.lit(2.0) - ratio) / both)).alias("ht"))
+        gammas = counts.mapInPandas(_gamma_sums(theta), "st double, ht double").agg(
+            F.lit(0.0).alias("sb"), F.lit(0.0).alias("ib"), F.sum("st").alias("st"),
+            F.sum("ht").alias("ht"))
+        parts = sums.unionByName(gammas).collect()
+        s = {k: sum(r[k] for r in parts) for k in ("sb", "ib", "st", "ht")}
+        score, hess = s["st"], s["ht"]
         step_b = max(-0.5, min(0.5, s["sb"] / s["ib"]))
         # Newton in log(theta); a score-signed step where the surface is not concave
         slope, curve = theta * score, -(theta * theta * hess + theta * score)

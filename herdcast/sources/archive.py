@@ -32,16 +32,15 @@ def save_archive(tables: dict[str, DataFrame], path: str, years: Sequence[int] |
                  overwrite: bool = False, compression: str = "zstd") -> None:
     """Write the four tables; an existing archive is only replaced when asked.
 
-    Rows are clustered by year before the write so that a year is a few files, and split
-    further by key so that one large year does not become one task.
+    Rows are rebalanced by year before the write: a year is a few files of the advisory
+    partition size, and a year larger than that is split over more tasks.
     """
     if years is not None:
         _require_years(tables, ("FEC", "Weather"), years)
     chosen = select_years(tables, years)
     for name, df in chosen.items():
-        spread = F.pmod(F.xxhash64(*KEYS[name]), F.lit(16))
         (df.select(*TABLES[name].fieldNames())
-         .repartition("Year", spread)
+         .hint("rebalance", F.col("Year"))
          .write.mode("overwrite" if overwrite else "errorifexists")
          .option("compression", compression).partitionBy("Year").parquet(f"{path}/{name}"))
 

@@ -1,4 +1,7 @@
 import os
+
+os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")      # before numpy is imported
+
 import sys
 import tempfile
 
