@@ -21,7 +21,7 @@ def herd(spark, years=(2001, 2002), per_location=(14, 24), weeks=range(12, 49, 4
     rng = np.random.default_rng(seed)
     loc, ani, fec = [], [], []
     factor = {"None": 1.0, "Automated": 0.8, "Manual": 0.6}
-    for farm in ("Fruits", "Trees", "Birds"):
+    for farm in ("North", "South", "West"):
         for i, hyg in enumerate(("None", "Automated", "Manual")):
             place = f"{farm}_Field{i}"
             n = int(rng.integers(*per_location))

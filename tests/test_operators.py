@@ -96,7 +96,7 @@ def test_headers():
 
 
 def sheet(spark, **change):
-    base = {"Farm": "Fruits", "Year": 2001, "Name": "Bo", "Tag": "1", "Sex": "dkg", "Age": "<1",
+    base = {"Farm": "North", "Year": 2001, "Name": "Bo", "Tag": "1", "Sex": "dkg", "Age": "<1",
             "Location": "Field 0", "ClinicalRisk": None, "AvFEC": "", "Notes": "n",
             "F12": "150", "T12": None, "F13": None, "T13": "MOX", "F14": "x", "T14": ""}
     rows = [base | change, base | {"Name": "Al", "Tag": "2", "F13": "50"}]
@@ -105,16 +105,16 @@ def sheet(spark, **change):
 
 
 def test_sheet_to_facts(spark, tables):
-    header = spark.createDataFrame([("Fruits", 2001, None, "36976")], "Farm string, Year int, F12 string, F13 string")
+    header = spark.createDataFrame([("North", 2001, None, "36976")], "Farm string, Year int, F12 string, F13 string")
     offset = cf.week_offset(header).first()
     assert (offset.RefDate, offset.WeekOffset) == (dt.date(2001, 3, 26), 0)
     animals, facts = readers.load_dosing_sheets(sheet(spark), tables["Locations"], header)
     assert rows(animals, "AnimalID", "Location", "Sex", "Age", "ClinicalRisk") == [
-        ("Fruits_Al", "Fruits_Field0", "DKM", 0.0, "Normal"),
-        ("Fruits_Bo", "Fruits_Field0", "DKM", 0.0, "Normal")]
+        ("North_Al", "North_Field0", "DKM", 0.0, "Normal"),
+        ("North_Bo", "North_Field0", "DKM", 0.0, "Normal")]
     got = rows(facts, "AnimalID", "Week", "FEC", "Count", "Dose", "DoseText", "Monday")
-    assert ("Fruits_Al", 13, 50.0, 1.0, True, "MOX", monday(2001, 13)) in got
-    assert ("Fruits_Bo", 13, None, None, True, "MOX", monday(2001, 13)) in got
+    assert ("North_Al", 13, 50.0, 1.0, True, "MOX", monday(2001, 13)) in got
+    assert ("North_Bo", 13, None, None, True, "MOX", monday(2001, 13)) in got
     assert len(got) == 4
 
 
