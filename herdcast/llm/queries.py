@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdcast.llm import mixing, quality_rules, sql
+from herdcast.llm import jaccard_join, mixing, quality_rules, sql
 from herdcast.llm.common import pick, table
 
 
@@ -16,6 +16,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the documents that share 90 % of their three-word shingles."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus mixed to the square root of each source's share of characters, in global random order."""
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
@@ -25,7 +30,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_quality_rules, op9_mixing)}
+        op2_quality_rules, op4_ngram_jaccard_join, op9_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
