@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdcast.llm import jaccard_join, mixing, quality_rules, sql
+from herdcast.llm import jaccard_join, lm_scoring, mixing, quality_rules, sql
 from herdcast.llm.common import pick, table
 
 
@@ -28,9 +28,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "text", F.col("copy_").alias("copy"), F.col("order_key_").alias("order_key"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability and bits per byte of every document under context mixing, and the unigram score."""
+    return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_quality_rules, op4_ngram_jaccard_join, op9_mixing)}
+        op2_quality_rules, op4_ngram_jaccard_join, op9_mixing, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
