@@ -81,9 +81,13 @@ class WordHash(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+def lowered(text: str | None) -> bytes:
+    """A text as UTF-8 with A-Z in lower case; its split() are its words."""
+    return (text or "").encode("utf-8", "surrogatepass").lower()
+
+
 def words_bytes(text: str | None) -> list[bytes]:
-    """Words of a text as UTF-8 bytes with A-Z in lower case."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return lowered(text).split()
 
 
 def columns_of(batches: Iterable, names: tuple[str, ...]):
