@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdcast.llm import jaccard_join, lm_scoring, mixing, quality_rules, sql
+from herdcast.llm import jaccard_join, lm_scoring, mixing, packing, quality_rules, sql
 from herdcast.llm.common import pick, table
 
 
@@ -21,6 +21,17 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def tokenizer() -> str:
+    """Path of the public vocabulary that packing counts in."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of at most 4096 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus mixed to the square root of each source's share of characters, in global random order."""
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
@@ -35,7 +46,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_quality_rules, op4_ngram_jaccard_join, op9_mixing, op10_lm_scoring)}
+        op2_quality_rules, op4_ngram_jaccard_join, op6_best_fit_packing, op9_mixing, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
