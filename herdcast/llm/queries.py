@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdcast.llm import jaccard_join, lm_scoring, mixing, packing, quality_rules, sql
+from herdcast.llm import importance, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sql
 from herdcast.llm.common import pick, table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight of every document against good labelled text, and whether it is sampled."""
+    return importance.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of the rule cascade for every document."""
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
@@ -32,6 +37,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus mixed to the square root of each source's share of characters, in global random order."""
     docs = pick(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
@@ -46,7 +57,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_quality_rules, op4_ngram_jaccard_join, op6_best_fit_packing, op9_mixing, op10_lm_scoring)}
+        op1_quality_classifier, op2_quality_rules, op4_ngram_jaccard_join, op6_best_fit_packing, op8_language_id, op9_mixing, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
