@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdcast.llm import importance, jaccard_join, language_id, lm_scoring, mixing, packing, quality_rules, sql
+from herdcast.llm import (chat_format, html_text, importance, jaccard_join, language_id, lm_scoring, mixing, packing,
+                          quality_rules, sql, top_k)
 from herdcast.llm.common import pick, table
 
 
@@ -21,11 +22,27 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the documents that share 90 % of their three-word shingles."""
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+#: A text full of control strings, asked for by the query's contract.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests, read back from the formatted text, of every conversation and of one made of control strings."""
+    chats = pick(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_chats(chats.union(extra)))
+
+
 def tokenizer() -> str:
     """Path of the public vocabulary that packing counts in."""
     import public_tokenizers
@@ -37,6 +54,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector with all others."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
@@ -57,7 +79,8 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_quality_classifier, op2_quality_rules, op4_ngram_jaccard_join, op6_best_fit_packing, op8_language_id, op9_mixing, op10_lm_scoring)}
+        op1_quality_classifier, op2_quality_rules, op3_html_extraction, op4_ngram_jaccard_join, op5_chat_formatting,
+        op6_best_fit_packing, op7_exact_top_k, op8_language_id, op9_mixing, op10_lm_scoring)}
 
 
 def oracle_sql() -> dict[str, str]:
