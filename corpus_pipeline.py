@@ -9,8 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from herdcast.llm import mixing
+from herdcast.llm import importance, jaccard_join, language_id, mixing, packing
 from herdcast.llm.common import materialise, table
+from herdcast.llm.queries import tokenizer
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter, and those whose language is too uncertain."""
+    return language_id.accepted(docs, language_id.fit(docs, held_out=None))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that importance resampling against good labelled text does not sample."""
+    return importance.resample(docs, importance.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group that shares 90 % of its three-word shingles."""
+    return jaccard_join.deduplicate(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +34,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select(*docs.columns)
 
 
-STAGES = [("mixing", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 tokens."""
+    return packing.pack_documents(docs, tokenizer())
+
+
+STAGES = [("language_id", language), ("quality_classifier", quality), ("near_duplicates", near_duplicates),
+          ("mixing", mix), ("packing", pack)]
 
 #: SQL cannot express these stages; tests hold them against brute force.
 ORACLE_SQL = None

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdcast.llm.common import WordHash, columns_of, materialise, mix64, pick, words_bytes
+from herdcast.llm.common import WordHash, columns_of, materialise, mix64, packed, pick, unpacked, words_bytes
 from herdcast.llm.graph import components
 
 
@@ -170,32 +170,44 @@ def _pairs(rows: DataFrame, join: Join) -> DataFrame:
                                             F.col("n").alias("na"), F.col("nq").alias("nb")))
 
 
-def class_links(classes: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
-    """Links between classes of equal sets, enough to connect every component."""
+def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` (rep, root of every class) after the links ``found``: only the parts they touch are joined anew."""
+    one, two = (roots.select(F.col("rep").alias(n), F.col("root").alias(f"r{n}")) for n in ("x", "y"))
+    between = found.join(one, "x").join(two, "y").where("rx <> ry").select(F.col("rx").alias("x"), F.col("ry").alias("y"))
+    moved = components(between).select(F.col("node").alias("root"), F.col("root").alias("to"))
+    return materialise(roots.join(moved, "root", "left").select("rep", F.coalesce("to", "root").alias("root")), "class-roots")
+
+
+def class_roots(classes: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
+    """(rep, root) of every class of equal sets that meets another one: equal roots for linked classes."""
     by_size = Window.partitionBy("key").orderBy("n", "rep")
     spread = classes.select("rep", "n", F.explode("keys").alias("key")).distinct()
     near = spread.withColumn("before", F.lag("n").over(by_size)).withColumn("after", F.lead("n").over(by_size))
     buckets = materialise(near.where(_size_fits("before", "n", join) | _size_fits("n", "after", join)).select("key", "rep", "n"), "buckets")
-    wanted = (buckets.select("rep").distinct().join(classes.select("rep", "of_id", "h1", "h2"), "rep")
+    met = materialise(buckets.select("rep").distinct(), "met")
+    wanted = (met.join(classes.select("rep", "of_id", "h1", "h2"), "rep")
               .select("rep", F.col("of_id").alias("doc_id"), "h1", "h2"))
     segments = materialise(coarse_segments(texts.join(wanted, "doc_id").select("rep", "h1", "h2", "text"), join), "segments")
 
     first = Window.partitionBy("key").orderBy("n", "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     neighbours = buckets.select("rep", "n", F.lag("rep").over(by_size).alias("q"), F.lag("n").over(by_size).alias("nq"))
     leaders = buckets.select("rep", "n", F.first("rep").over(first).alias("q"), F.first("n").over(first).alias("nq"))
-    tried = materialise(_pairs(neighbours.union(leaders), join), "pairs")
-    links = materialise(linked(tried, segments, join), "found")
-    rounds = 0
+    more = materialise(_pairs(neighbours.union(leaders), join), "pairs")
+    roots, tried, every, rounds = met.withColumn("root", F.col("rep")), more, False, 0
     while True:
-        roots = components(links).select(F.col("node").alias("rep"), "root")
-        placed = buckets.join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        found = materialise(linked(more, segments, join), "found")
+        if not found.isEmpty():
+            roots = _merged(roots, found)
+        if every:
+            return roots
+        placed = buckets.join(roots, "rep")
         mixed = placed.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(
             F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count("*").alias("parts")).where("parts > 1")
         apart = materialise(placed.join(mixed.select("key", (F.col("all") * F.col("all") - F.col("same")).alias("open")), "key"), "apart")
         left = apart.groupBy("key").agg(F.first("open").alias("open"), F.count("*").alias("c")).agg(
             F.sum("open").alias("open"), F.sum("c").alias("c")).first()
         if not left["c"]:
-            return links
+            return roots
         every = left["open"] <= 8 * left["c"] or rounds >= 3
         if every:
             other = apart.select("key", F.col("rep").alias("q"), F.col("n").alias("nq"), F.col("root").alias("rq"))
@@ -206,10 +218,6 @@ def class_links(classes: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
             rows = apart.select("rep", "n", "root", F.lag("rep").over(shuffled).alias("q"), F.lag("n").over(shuffled).alias("nq"),
                                 F.lag("root").over(shuffled).alias("rq")).where("root <> rq").select("rep", "n", "q", "nq")
         more = materialise(_pairs(rows, join).join(tried.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
-        found = materialise(linked(more, segments, join), "found")
-        links = materialise(links.union(found), "found")
-        if every:
-            return links
         tried = tried.union(more)
         rounds += 1
 
@@ -227,7 +235,7 @@ def jaccard_join(docs: DataFrame, join: Join | None = None) -> DataFrame:
     usable = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = materialise(usable.groupBy("n", "h1", "h2").agg(
         F.min("rid").alias("rep"), F.min("doc_id").alias("of_id"), F.first("keys").alias("keys")), "classes")
-    roots = components(class_links(classes, docs, join)).select(F.col("node").alias("rep"), "root")
+    roots = class_roots(classes, docs, join)
     placed = materialise(classes.select("n", "h1", "h2", "rep", "of_id").join(roots, "rep", "left")
                          .withColumn("root", F.coalesce("root", "rep")), "placed")
     smallest = placed.groupBy("root").agg(F.min("of_id").alias("component"))
@@ -235,3 +243,16 @@ def jaccard_join(docs: DataFrame, join: Join | None = None) -> DataFrame:
     return (rows.select("doc_id", "n", "h1", "h2").join(named, ["n", "h1", "h2"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")))
+
+
+def deduplicate(docs: DataFrame, join: Join | None = None) -> DataFrame:
+    """One row of each group of linked documents, the one with the smallest doc_id, with all columns.
+
+    Rows that share a doc_id are one document; the least row stays. Rows without words link with nothing and
+    rows without doc_id take no part: they stay.
+    """
+    kept = jaccard_join(docs, join).where("doc_id = component_id").select(F.col("doc_id").alias("kept_")).distinct()
+    own = packed(docs, "doc_id")
+    named = own.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("kept_"), "left_semi")
+    one = named.groupBy("doc_id").agg(F.min("row_").alias("row_"))
+    return unpacked(one.select("row_").union(own.where("doc_id IS NULL").select("row_")), docs)
