@@ -9,7 +9,9 @@ one below.
 
 Equal sets are merged first. Within a bucket, links are sought first between neighbours in size and
 with the first one, which joins a group of near copies without trying all its pairs. Pairs between parts
-that are still apart follow, all of them in the end, so no link between two components is missed.
+that are still apart follow, all of them in the end, so no link between two components is missed. Before
+shingles are fetched for a pair, the difference of two small histograms over the order, which
+is no larger than the difference of the sets, rules most false pairs out.
 """
 
 from __future__ import annotations
@@ -64,79 +66,120 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(mix64(s ^ np.uint64(k)).sum(dtype=np.uint64).astype(np.int64)) for k in (0x51ED27, 0xA3C59AC2F1))
 
 
-def _fine_keys(s: np.ndarray, join: Join, lows: list[int]) -> list[np.ndarray]:
-    own = int(np.searchsorted(lows, len(s), side="right")) - 1
+def _cuts(n: int, join: Join, lows: list[int]) -> list[tuple[int, int]]:
+    """The size class of a set and the one below, each with the largest difference of a linked pair in it."""
+    own = int(np.searchsorted(lows, n, side="right")) - 1
+    return [(k, join.largest_difference(lows[k + 1] + lows[k + 2] - 2)) for k in (own, own - 1) if k >= 0]
+
+
+def _part(s: np.ndarray, count: int) -> np.ndarray:
+    """Which of ``count`` equal ranges of the order each shingle is in."""
+    return ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
+
+
+def _fine_keys(s: np.ndarray, join: Join, lows: list[int]) -> np.ndarray:
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(s), dtype=np.uint64)])
-    keys = []
-    for scheme in (own, own - 1):
-        if scheme < 0:
-            continue
-        differ = join.largest_difference(lows[scheme + 1] + lows[scheme + 2] - 2)
+    keys = [np.empty(0, np.uint64)]
+    for scheme, differ in _cuts(len(s), join, lows):
         if differ == 0:
             continue                      # only equal sets can link here
         slack = 1 + differ // 32
         count = differ + 1 + slack
-        at = ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
-        edges = np.searchsorted(at, np.arange(count + 1, dtype=np.uint64))
+        edges = np.searchsorted(_part(s, count), np.arange(count + 1, dtype=np.uint64))
         tag = np.arange(count, dtype=np.uint64) + np.uint64(scheme << 32)
         found = mix64((sums[edges[1:]] - sums[edges[:-1]]) ^ mix64(tag))
         filled = edges[1:] > edges[:-1]
         # up to ``slack`` fragments may be empty in both sets and tell nothing; sets with more
         # empty ones than that meet on the empty ones too
         keys.append(found[filled] if count - int(filled.sum()) <= slack else found)
-    return keys
+    return np.unique(np.concatenate(keys))
+
+
+def _histograms(s: np.ndarray, join: Join, lows: list[int]) -> tuple[int, list[np.ndarray]]:
+    """The size class, and the counts of shingles by range of the order for it and the class below."""
+    cuts = _cuts(len(s), join, lows)
+    counts = [np.bincount(_part(s, 2 * (d + 1)).astype(np.int64), minlength=2 * (d + 1)) for _, d in cuts]
+    return cuts[0][0], [np.minimum(c, 32767).astype(np.int16) for c in (counts if len(counts) == 2 else [counts[0], counts[0][:0]])]
+
+
+def _sets(texts: list, join: Join, hashes: WordHash, lows: list[int]) -> Iterator[np.ndarray]:
+    for text in texts:
+        s = shingles(words_bytes(text), join.width, hashes)
+        if len(s) > lows[-4]:
+            lows[:] = join.bounds(2 * len(s))
+        yield s
 
 
 def sketches(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n, h1, h2 and the keys of the fine fragments of every document."""
+    """doc_id, n and the 128-bit digest h1, h2 of every document's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, lows = WordHash(), join.bounds(1 << 12)
         for ids, texts in columns_of(batches, ("doc_id", "text")):
-            sizes, one, two, keys, ends = [], [], [], [], [0]
-            for text in texts:
-                s = shingles(words_bytes(text), join.width, hashes)
-                if len(s) > lows[-4]:
-                    lows = join.bounds(2 * len(s))
-                a, b = digest(s)
-                own = _fine_keys(s, join, lows) if len(s) else []
-                sizes.append(len(s))
-                one.append(a)
-                two.append(b)
-                keys.extend(own)
-                ends.append(ends[-1] + sum(map(len, own)))
-            flat = np.concatenate(keys).astype(np.int64) if keys else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
-                names=["doc_id", "n", "h1", "h2", "keys"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, keys array<long>")
+            found = [(len(s), *digest(s)) for s in _sets(texts, join, hashes, lows)]
+            columns = zip(*found, strict=True) if found else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in columns]],
+                                             names=["doc_id", "n", "h1", "h2"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long")
+
+
+def fine_keys(docs: DataFrame, join: Join) -> DataFrame:
+    """(key, h1, n): a row for every fine fragment of every document. Equal sets met again in a partition are left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, lows, seen = WordHash(), join.bounds(1 << 12), set()
+        for (texts,) in columns_of(batches, ("text",)):
+            keys, ids, sizes = [], [], []
+            for s in _sets(texts, join, hashes, lows):
+                one = digest(s)
+                if not len(s) or one in seen:
+                    continue
+                if len(seen) >= 1_000_000:
+                    seen.clear()
+                seen.add(one)
+                own = _fine_keys(s, join, lows)
+                keys.append(own)
+                ids.append(np.full(len(own), one[0], np.int64))
+                sizes.append(np.full(len(own), len(s), np.int32))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)),
+                                                  pa.array(np.concatenate(sizes))], names=["key", "h1", "n"])
+
+    return docs.where("doc_id IS NOT NULL").select("text").mapInArrow(run, "key long, h1 long, n int")
 
 
 def coarse_segments(texts: DataFrame, join: Join) -> DataFrame:
-    """(rep, frag, tokens): the shingles of each candidate, by coarse fragment of the order."""
+    """(rep, frag, tokens): the shingles of each candidate, by coarse fragment of the order; its first row also
+    has its size class and histograms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
+        hashes, lows = WordHash(), join.bounds(1 << 12)
         for reps, h1s, h2s, texts in columns_of(batches, ("rep", "h1", "h2", "text")):
-            out, frag, tokens, ends = [], [], [], [0]
-            for rep, h1, h2, text in zip(reps, h1s, h2s, texts, strict=True):
-                s = shingles(words_bytes(text), join.width, hashes)
+            rows: list[tuple] = []
+            for rep, h1, h2, s in zip(reps, h1s, h2s, _sets(texts, join, hashes, lows), strict=True):
                 if digest(s) != (h1, h2):
                     continue              # another row with the same id
-                at = ((s >> np.uint64(32)) * np.uint64(join.fragments)) >> np.uint64(32)
-                edges = np.searchsorted(at, np.arange(join.fragments + 1, dtype=np.uint64))
-                for k in range(join.fragments):
-                    if edges[k + 1] > edges[k]:
-                        out.append(rep)
-                        frag.append(k)
-                        tokens.append(s[edges[k]:edges[k + 1]])
-                        ends.append(ends[-1] + len(tokens[-1]))
-            flat = np.concatenate(tokens).astype(np.int64) if tokens else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), pa.array(frag, pa.int32()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))], names=["rep", "frag", "tokens"])
-
-    return texts.mapInArrow(run, "rep long, frag int, tokens array<long>")
+                edges = np.searchsorted(_part(s, join.fragments), np.arange(join.fragments + 1, dtype=np.uint64))
+                size_class, (own, low) = _histograms(s, join, lows)
+                for k in np.flatnonzero(edges[1:] > edges[:-1]):
+                    rows.append((rep, k, s[edges[k]:edges[k + 1]].view(np.int64), size_class, own, low))
+                    size_class = own = low = None
+            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int16()), pa.list_(pa.int16()))
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                             names=["rep", "frag", "tokens", "class", "own", "low"])
+
+    return texts.mapInArrow(run, "rep long, frag int, tokens array<long>, class int, own array<short>, low array<short>")
+
+
+def _can_link(join: Join) -> Column:
+    """Whether the rows x and y (structs n, class, own, low) are near enough by their histograms."""
+    swap = F.col("x.n") > F.col("y.n")
+    small, large = (F.when(swap, F.col(a)).otherwise(F.col(b)) for a, b in (("y.own", "x.own"), ("x.own", "y.own")))
+    below, same = F.when(swap, F.col("x.low")).otherwise(F.col("y.low")), F.col("x.class") == F.col("y.class")
+    apart = F.aggregate(F.zip_with(small, F.when(same, large).otherwise(below), lambda a, b: F.abs(a.cast("int") - b.cast("int"))),
+                        F.lit(0), lambda a, v: a + v)
+    sizes = F.col("x.n") + F.col("y.n")
+    fits = 100 * F.least("x.n", "y.n") >= join.percent * F.greatest("x.n", "y.n")
+    return fits & (apart * (100 + join.percent) <= sizes * (100 - join.percent))
 
 
 def linked(pairs: DataFrame, segments: DataFrame, join: Join) -> DataFrame:
@@ -156,18 +199,17 @@ def _size_fits(small: str, large: str, join: Join) -> Column:
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
-    """Each pair once, the smaller id as x."""
-    swap = F.col("a") > F.col("b")
-    return pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"),
-                        F.when(swap, F.col("nb")).otherwise(F.col("na")).alias("nx"),
-                        F.when(swap, F.col("na")).otherwise(F.col("nb")).alias("ny")).distinct()
+    """Each pair of structs x and y once, as (x, y, nx, ny), the smaller id first."""
+    swap = F.col("x.rep") > F.col("y.rep")
+    one, two = F.when(swap, F.col("y")).otherwise(F.col("x")), F.when(swap, F.col("x")).otherwise(F.col("y"))
+    return pairs.select(one["rep"].alias("x"), two["rep"].alias("y"), one["n"].alias("nx"), two["n"].alias("ny")).distinct()
 
 
-def _pairs(rows: DataFrame, join: Join) -> DataFrame:
-    """Pairs from columns rep, n, q, nq (a partner or null) that sizes allow."""
-    fits = (100 * F.least("n", "nq") >= join.percent * F.greatest("n", "nq")) & (F.col("rep") != F.col("q"))
-    return _ordered(rows.where(fits).select(F.col("rep").alias("a"), F.col("q").alias("b"),
-                                            F.col("n").alias("na"), F.col("nq").alias("nb")))
+def _near_pairs(rows: DataFrame, shapes: DataFrame, join: Join) -> DataFrame:
+    """Pairs from columns rep and q (a partner or null) that sizes and histograms allow."""
+    pairs = rows.where("q IS NOT NULL AND rep <> q").select(F.least("rep", "q").alias("a"), F.greatest("rep", "q").alias("b")).distinct()
+    one, two = (shapes.select(F.col("rep").alias(k), F.struct("*").alias(n)) for k, n in (("a", "x"), ("b", "y")))
+    return _ordered(pairs.join(one, "a").join(two, "b").where(_can_link(join)))
 
 
 def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
@@ -178,22 +220,23 @@ def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
     return materialise(roots.join(moved, "root", "left").select("rep", F.coalesce("to", "root").alias("root")), "class-roots")
 
 
-def class_roots(classes: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
+def class_roots(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """(rep, root) of every class of equal sets that meets another one: equal roots for linked classes."""
-    by_size = Window.partitionBy("key").orderBy("n", "rep")
-    spread = classes.select("rep", "n", F.explode("keys").alias("key")).distinct()
-    near = spread.withColumn("before", F.lag("n").over(by_size)).withColumn("after", F.lead("n").over(by_size))
-    buckets = materialise(near.where(_size_fits("before", "n", join) | _size_fits("n", "after", join)).select("key", "rep", "n"), "buckets")
-    met = materialise(buckets.select("rep").distinct(), "met")
-    wanted = (met.join(classes.select("rep", "of_id", "h1", "h2"), "rep")
-              .select("rep", F.col("of_id").alias("doc_id"), "h1", "h2"))
-    segments = materialise(coarse_segments(texts.join(wanted, "doc_id").select("rep", "h1", "h2", "text"), join), "segments")
-
-    first = Window.partitionBy("key").orderBy("n", "rep").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    neighbours = buckets.select("rep", "n", F.lag("rep").over(by_size).alias("q"), F.lag("n").over(by_size).alias("nq"))
-    leaders = buckets.select("rep", "n", F.first("rep").over(first).alias("q"), F.first("n").over(first).alias("nq"))
-    more = materialise(_pairs(neighbours.union(leaders), join), "pairs")
-    roots, tried, every, rounds = met.withColumn("root", F.col("rep")), more, False, 0
+    by_size = Window.partitionBy("key").orderBy("n", "h1")
+    near = (fine_keys(docs, join).repartition("key").distinct()
+            .withColumn("before", F.lag("n").over(by_size)).withColumn("after", F.lead("n").over(by_size)))
+    shared = materialise(near.where(_size_fits("before", "n", join) | _size_fits("n", "after", join)).select("key", "h1", "n"), "shared")
+    met = materialise(shared.select("h1", "n").distinct().join(classes, ["h1", "n"]).select("rep", "of_id", "h1", "h2", "n"), "met")
+    buckets = materialise(shared.join(met.select("h1", "n", "rep"), ["h1", "n"]).select("key", "rep", "n"), "buckets")
+    texts = docs.join(met.select(F.col("of_id").alias("doc_id"), "rep", "h1", "h2"), "doc_id").select("rep", "h1", "h2", "text")
+    segments = materialise(coarse_segments(texts, join), "segments")
+    shapes = segments.where("class IS NOT NULL").select("rep", "class", "own", "low").join(met.select("rep", "n"), "rep")
+
+    order = Window.partitionBy("key").orderBy("n", "rep")
+    partners = buckets.select("rep", F.array(F.lag("rep").over(order), F.first("rep").over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias("qs"))
+    more = materialise(_near_pairs(partners.select("rep", F.explode("qs").alias("q")), shapes, join), "pairs")
+    roots, tried, every, rounds = met.select("rep", F.col("rep").alias("root")), more, False, 0
     while True:
         found = materialise(linked(more, segments, join), "found")
         if not found.isEmpty():
@@ -208,16 +251,19 @@ def class_roots(classes: DataFrame, texts: DataFrame, join: Join) -> DataFrame:
             F.sum("open").alias("open"), F.sum("c").alias("c")).first()
         if not left["c"]:
             return roots
-        every = left["open"] <= 8 * left["c"] or rounds >= 3
+        every = left["open"] <= 8 * left["c"] or rounds >= 2
         if every:
-            other = apart.select("key", F.col("rep").alias("q"), F.col("n").alias("nq"), F.col("root").alias("rq"))
-            rows = apart.join(other, "key").where("rep < q AND root <> rq").select("rep", "n", "q", "nq")
+            # all pairs across parts that are left, compared in the join by their histograms
+            shaped = apart.join(shapes.drop("n"), "rep").select("key", "root", F.struct("rep", "n", "class", "own", "low").alias("x"))
+            other = shaped.select("key", F.col("root").alias("other"), F.col("x").alias("y"))
+            near_pairs = _ordered(shaped.join(other, (shaped["key"] == other["key"]) & (F.col("x.rep") < F.col("y.rep"))
+                                              & (F.col("root") != F.col("other")) & _can_link(join)).select("x", "y"))
         else:
             # neighbours in an order that changes with the round, then across parts only
             shuffled = Window.partitionBy("key").orderBy(F.xxhash64("rep", F.lit(rounds)), "rep")
-            rows = apart.select("rep", "n", "root", F.lag("rep").over(shuffled).alias("q"), F.lag("n").over(shuffled).alias("nq"),
-                                F.lag("root").over(shuffled).alias("rq")).where("root <> rq").select("rep", "n", "q", "nq")
-        more = materialise(_pairs(rows, join).join(tried.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
+            rows = apart.select("rep", "root", F.lag("rep").over(shuffled).alias("q"), F.lag("root").over(shuffled).alias("rq"))
+            near_pairs = _near_pairs(rows.where("root <> rq").select("rep", "q"), shapes, join)
+        more = materialise(near_pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
         tried = tried.union(more)
         rounds += 1
 
@@ -234,7 +280,7 @@ def jaccard_join(docs: DataFrame, join: Join | None = None) -> DataFrame:
     rows = materialise(sketches(docs, join).withColumn("rid", F.monotonically_increasing_id()), "sketches")
     usable = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = materialise(usable.groupBy("n", "h1", "h2").agg(
-        F.min("rid").alias("rep"), F.min("doc_id").alias("of_id"), F.first("keys").alias("keys")), "classes")
+        F.min("rid").alias("rep"), F.min("doc_id").alias("of_id")), "classes")
     roots = class_roots(classes, docs, join)
     placed = materialise(classes.select("n", "h1", "h2", "rep", "of_id").join(roots, "rep", "left")
                          .withColumn("root", F.coalesce("root", "rep")), "placed")
