@@ -24,9 +24,9 @@ def ship_date() -> Column:
 
 
 def with_years(df: DataFrame, spark: SparkSession, sf_dir: str, col: str = "Year") -> DataFrame:
-    """One copy of each row per calendar year on record (a handful of years)."""
+    """One copy of each row per year of a Monday on record (a handful of years)."""
     years = (table(spark, sf_dir, "lineitem")
-             .agg(F.array_sort(F.collect_set(F.year("l_shipdate"))).alias("ys")))
+             .agg(F.array_sort(F.collect_set(F.year(cal.monday_of(ship_date())))).alias("ys")))
     return df.withColumn(col, F.explode(years.scalar()))
 
 
@@ -78,7 +78,6 @@ def weekly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     monday = cal.monday_of(ship_date())
     weekly = (
         table(spark, sf_dir, "lineitem")
-        .filter(F.year(monday) == F.year("l_shipdate"))
         .groupBy("l_suppkey", monday.alias("Monday"))
         .agg(F.avg("l_quantity").alias("q"),
              F.bool_or((F.col("l_linenumber") == 7) & (F.col("l_returnflag") == "R")
@@ -117,6 +116,19 @@ def weather(spark: SparkSession, sf_dir: str, status: str | None = None) -> Data
                     X.abs_humidity(F.col("ta"), F.col("rh")).alias("Abs_Humidity_avg")))
 
 
+def site_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily weather of each nation's suppliers as a site of its own; many days are missing."""
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("Site"))
+    daily = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", ship_date().alias("Date")).agg(
+        F.sum("l_quantity").alias("q"), F.sum("l_linenumber").alias("n"), F.count(F.lit(1)).alias("c"))
+    daily = daily.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).groupBy("Site", "Date").agg(
+        F.sum("q").alias("q"), F.sum("n").alias("n"), F.sum("c").alias("c"))
+    ta, rh = F.round(F.col("q") / F.col("c") - 15, 2), F.round(F.lit(60) + F.col("n") / F.col("c") * 4, 2)
+    return (daily.select("Site", "Date", ta.alias("ta"), rh.alias("rh")).select(
+        "Site", "Date", (F.col("ta") - 6).alias("Temp_low"), F.col("ta").alias("Temp_avg"), (F.col("ta") + 6).alias("Temp_high"),
+        F.col("rh").alias("Rel_Humidity_avg"), X.abs_humidity(F.col("ta"), F.col("rh")).alias("Abs_Humidity_avg")))
+
+
 def raw_animals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The seven leading text columns of every farm-year sheet, with its usual dirt:
     mixed-case codes, inner spaces, "<1" ages, blank risks and averages, and (for checks)

@@ -129,7 +129,7 @@ def dose_prop(k: int) -> str:
 
 
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
-    "years": ("SELECT DISTINCT CAST(year(l_shipdate) AS INT) AS Year FROM lineitem", ()),
+    "years": ("SELECT DISTINCT CAST(year(date_trunc('week', l_shipdate)) AS INT) AS Year FROM lineitem", ()),
     "locations": (f"""
     SELECT Year, {_FARM} AS Farm, r_name AS Field, {_LOC} AS Location,
       CASE r_regionkey % 3 WHEN 0 THEN 'None' WHEN 1 THEN 'Automated' ELSE 'Manual' END AS Hygiene,
@@ -153,8 +153,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
     FROM (SELECT l_suppkey, CAST(date_trunc('week', l_shipdate) AS DATE) AS M,
             avg(l_quantity) AS q,
             bool_or(l_linenumber = 7 AND l_returnflag = 'R' AND l_quantity > 25) AS Dose
-          FROM lineitem WHERE year(date_trunc('week', l_shipdate)) = year(l_shipdate)
-          GROUP BY 1, 2)
+          FROM lineitem GROUP BY 1, 2)
     JOIN ({'SELECT * FROM ' + _PLACE}) ON l_suppkey = s_suppkey""", ()),
     "fec": ("""
     SELECT *, coalesce(date_diff('day', max(CASE WHEN Dose THEN Monday END) OVER (
@@ -162,6 +161,15 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
         RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), Monday) / 7.0,
         CAST('Infinity' AS DOUBLE)) AS LastDose FROM counts""", ("counts",)),
     "weather": (weather_view(), ()),
+    "site_days": (f"""
+    SELECT Site, Date, ta - 6 AS Temp_low, ta AS Temp_avg, ta + 6 AS Temp_high, rh AS Rel_Humidity_avg,
+      {abs_hum('ta', 'rh')} AS Abs_Humidity_avg
+    FROM (SELECT s_nationkey AS Site, CAST(l_shipdate AS DATE) AS Date, round(avg(l_quantity) - 15, 2) AS ta,
+            round(60 + avg(l_linenumber) * 4, 2) AS rh
+          FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)""", ()),
+    "site_calendar": ("""
+    SELECT Site, CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date
+    FROM site_days GROUP BY Site""", ("site_days",)),
     "weather_f": (weather_view("l_linestatus = 'F'"), ()),
     "weather_o": (weather_view("l_linestatus = 'O'"), ()),
     "rolling": (rolling_view(), ("weather",)),

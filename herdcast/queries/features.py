@@ -53,60 +53,45 @@ def abs_humidity(spark, d):
         "l_orderkey", "l_linenumber", rh.alias("rh"), X.abs_humidity(t, rh).alias("ah")))
 
 
-def _sparse(spark, d):
-    """Weather with real gaps: days on which orders with status P were placed."""
-    days = (fx.table(spark, d, "orders").filter("o_orderstatus = 'P'")
-            .select(F.col("o_orderdate").cast("date").alias("Date")).distinct())
-    return fx.weather(spark, d).join(days, "Date", "left_semi")
-
-
-_SPARSE = """(SELECT * FROM weather WHERE Date IN (SELECT CAST(o_orderdate AS DATE) FROM orders
-  WHERE o_orderstatus = 'P'))"""
-_CAL = f"""(SELECT CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date
-  FROM {_SPARSE})"""
-
-
-@query("calendar_fill", f"""
-SELECT c.Date, w.Temp_avg, w.Rel_Humidity_avg FROM {_CAL} c LEFT JOIN {_SPARSE} w
-ON c.Date = w.Date""", ["weather"])
+@query("calendar_fill", """
+SELECT c.Site, c.Date, w.Temp_avg, w.Rel_Humidity_avg FROM site_calendar c LEFT JOIN site_days w
+ON c.Site = w.Site AND c.Date = w.Date""", ["site_calendar"])
 def calendar_fill(spark, d):
-    return wx.calendar_fill(_sparse(spark, d).select("Date", "Temp_avg", "Rel_Humidity_avg"))
+    return wx.calendar_fill(fx.site_days(spark, d).select("Site", "Date", "Temp_avg", "Rel_Humidity_avg"), ("Site",))
 
 
 @query("impute_gaps")
 def impute_gaps(spark, d):
-    return round_doubles(wx.impute_gaps(wx.calendar_fill(
-        _sparse(spark, d).select("Date", *_M))))
+    return round_doubles(wx.impute_gaps(wx.calendar_fill(fx.site_days(spark, d).select("Site", "Date", *_M), ("Site",)), ("Site",)))
 
 
 @query("impute_linear", f"""
-SELECT Date, {s6('''coalesce(v, lo.v + (hi.v - lo.v) * (Date - lo.d) / nullif(hi.d - lo.d, 0),
+SELECT Site, Date, {s6('''coalesce(v, lo.v + (hi.v - lo.v) * (Date - lo.d) / nullif(hi.d - lo.d, 0),
   lo.v, hi.v)''')} AS Temp_avg
-FROM (SELECT Date, v,
-    last_value(p IGNORE NULLS) OVER (ORDER BY Date ROWS UNBOUNDED PRECEDING) AS lo,
-    first_value(p IGNORE NULLS) OVER (ORDER BY Date ROWS BETWEEN CURRENT ROW AND
+FROM (SELECT Site, Date, v,
+    last_value(p IGNORE NULLS) OVER (PARTITION BY Site ORDER BY Date ROWS UNBOUNDED PRECEDING) AS lo,
+    first_value(p IGNORE NULLS) OVER (PARTITION BY Site ORDER BY Date ROWS BETWEEN CURRENT ROW AND
       UNBOUNDED FOLLOWING) AS hi
-  FROM (SELECT c.Date, w.Temp_avg AS v,
+  FROM (SELECT c.Site, c.Date, w.Temp_avg AS v,
           CASE WHEN w.Temp_avg IS NOT NULL THEN {{'d': c.Date, 'v': w.Temp_avg}} END AS p
-        FROM {_CAL} c LEFT JOIN {_SPARSE} w ON c.Date = w.Date))""", ["weather"])
+        FROM site_calendar c LEFT JOIN site_days w ON c.Site = w.Site AND c.Date = w.Date))""", ["site_calendar"])
 def impute_linear(spark, d):
-    daily = wx.calendar_fill(_sparse(spark, d).select("Date", "Temp_avg"))
-    return round_doubles(wx.impute_linear(daily, measures=("Temp_avg",)))
+    daily = wx.calendar_fill(fx.site_days(spark, d).select("Site", "Date", "Temp_avg"), ("Site",))
+    return round_doubles(wx.impute_linear(daily, ("Site",), measures=("Temp_avg",)))
 
 
 @query("weather_cache_write", f"""
 SELECT c.Date, {', '.join(f'round_even(round(w.{m}, 9), 2) + 0 AS {m}' for m in _M)}
-FROM {_CAL} c LEFT JOIN {_SPARSE} w ON c.Date = w.Date""", ["weather"])
+FROM (SELECT CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date FROM weather) c
+LEFT JOIN weather w ON c.Date = w.Date""", ["weather"])
 def weather_cache_write(spark, d):
     from herdcast.queries.base import scratch
     from herdcast.sources import sinks
     path = scratch(spark, "weather-cache")
-    sinks.write_weather_cache(_sparse(spark, d).select("Date", *_M), path)
+    sinks.write_weather_cache(fx.weather(spark, d).select("Date", *_M), path)
     return spark.read.parquet(path).select("Date", *_M)
 
 
-
-
 @query("week_backnumber", f"""
 SELECT Date, CAST(Y AS INT) AS Year, CAST((date_trunc('week', Date)::DATE - fm) / 7 + 1 AS INT) AS Week,
   isodow(Date) AS WeekDay, Month, Day, {', '.join(f'round_even(round({m}, 9), 1) + 0 AS {m}' for m in _M)}
@@ -272,12 +257,11 @@ def join_dense_weeks(spark, d):
 
 
 @query("join_anti", """
-SELECT Date, Temp_avg FROM weather WHERE Date NOT IN
-  (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'P')""", ["weather"])
+SELECT Site, Date FROM site_calendar WHERE (Site, Date) NOT IN (SELECT (Site, Date) FROM site_days)""",
+       ["site_calendar"])
 def join_anti(spark, d):
-    cached = (fx.table(spark, d, "orders").filter("o_orderstatus = 'P'")
-              .select(F.col("o_orderdate").cast("date").alias("Date")))
-    return fx.weather(spark, d).join(cached, "Date", "left_anti").select("Date", "Temp_avg")
+    cached = fx.site_days(spark, d).select("Site", "Date")
+    return wx.calendar_fill(cached, ("Site",)).join(cached, ["Site", "Date"], "left_anti")
 
 
 @query("join_semi", """

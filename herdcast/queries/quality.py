@@ -91,32 +91,23 @@ def check_range(spark, d):
 
 
 @query("check_contiguous_dates", """
-SELECT Year, CAST(Date + 1 AS DATE) AS FirstMissing, CAST(nxt - Date - 1 AS INT) AS MissingDays
-FROM (SELECT Year, Date, lead(Date) OVER (PARTITION BY Year ORDER BY Date) AS nxt
-      FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS Year,
-              CAST(o_orderdate AS DATE) AS Date FROM orders WHERE o_orderstatus = 'P'))
-WHERE nxt - Date > 1""")
+SELECT Site, CAST(Date + 1 AS DATE) AS FirstMissing, CAST(nxt - Date - 1 AS INT) AS MissingDays
+FROM (SELECT Site, Date, lead(Date) OVER (PARTITION BY Site ORDER BY Date) AS nxt FROM site_days)
+WHERE nxt - Date > 1""", ["site_days"])
 def check_contiguous_dates(spark, d):
-    days = (fx.table(spark, d, "orders").filter("o_orderstatus = 'P'")
-            .select(F.col("o_orderdate").cast("date").alias("Date"))
-            .withColumn("Year", F.year("Date")))
-    return C.contiguous_dates(days)
+    return C.contiguous_dates(fx.site_days(spark, d), by=("Site",))
 
 
 @query("check_week_shape", f"""
-SELECT Year, Week, days, weekdays FROM (
-  SELECT Year, Week, days, weekdays, min(Week) OVER (PARTITION BY Year) AS lo,
-    max(Week) OVER (PARTITION BY Year) AS hi
-  FROM (SELECT CAST(year(D) AS INT) AS Year, {wk('D')} AS Week, count(*) AS days,
-          count(DISTINCT isodow(D)) AS weekdays
-        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS D FROM orders
-              WHERE o_orderstatus = 'P') GROUP BY 1, 2))
-WHERE Week > lo AND Week < hi AND (days <> 7 OR weekdays <> 7)""")
+SELECT Site, Year, Week, days, weekdays FROM (
+  SELECT Site, Year, Week, days, weekdays, min(Week) OVER (PARTITION BY Site, Year) AS lo,
+    max(Week) OVER (PARTITION BY Site, Year) AS hi
+  FROM (SELECT Site, CAST(year(Date) AS INT) AS Year, {wk('Date')} AS Week, count(*) AS days,
+          count(DISTINCT isodow(Date)) AS weekdays FROM site_days GROUP BY 1, 2, 3))
+WHERE Week > lo AND Week < hi AND (days <> 7 OR weekdays <> 7)""", ["site_days"])
 def check_week_shape(spark, d):
-    days = (fx.table(spark, d, "orders").filter("o_orderstatus = 'P'")
-            .select(F.col("o_orderdate").cast("date").alias("Date")).distinct()
-            .withColumns({"Year": F.year("Date"), "Week": cal.week_w(F.col("Date"))}))
-    return C.week_shape(days)
+    days = fx.site_days(spark, d).withColumns({"Year": F.year("Date"), "Week": cal.week_w(F.col("Date"))})
+    return C.week_shape(days, by=("Site", "Year"))
 
 
 def _typed_in_count(spark, d):
