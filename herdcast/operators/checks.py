@@ -142,6 +142,16 @@ def year_span(fec: DataFrame) -> DataFrame:
         & (F.col("last_year") - F.col("first_year") + 1 == F.col("n_years")))
 
 
+def negative_counts(fec: DataFrame) -> DataFrame:
+    """Rows whose egg count is below zero."""
+    return fec.filter(F.col("FEC") < 0)
+
+
+def missing_dates(sheet: DataFrame, header: DataFrame) -> DataFrame:
+    """Farm-years whose sheet has no row of dates."""
+    return sheet.select("Farm", "Year").distinct().join(header.select("Farm", "Year"), ["Farm", "Year"], "left_anti")
+
+
 def group_invariants(group: DataFrame) -> DataFrame:
     """Location-weeks breaking: animals >= counted, animals >= dosed, bands >= 0."""
     d4, d8, d12 = F.col("DosedWithin4"), F.col("DosedWithin8"), F.col("DosedWithin12")

@@ -130,7 +130,10 @@ def conform_facts(sheet: DataFrame, locations: DataFrame, header: DataFrame | No
     ids = ["AnimalID", "Location", "Year"]
     offset = None
     if header is not None:
-        keyed = keyed.join(week_offset(header).drop("RefDate"), ["Farm", "Year"])
+        # a sheet without a row of dates, or with an empty one, stops the load
+        dated = keyed.join(week_offset(header).drop("RefDate"), ["Farm", "Year"], "left")
+        missing = F.raise_error(F.concat(F.lit("no dates for the sheet of "), "Farm", F.lit(" in "), F.col("Year").cast("string")))
+        keyed = dated.withColumn("WeekOffset", F.coalesce("WeekOffset", missing.cast("int")))
         ids, offset = ids + ["WeekOffset"], F.col("WeekOffset")
     facts = fold_count_and_treatment(parse_observations(unpivot_weeks(keyed, ids), offset))
     facts = raw_count(facts, locations).withColumn(

@@ -13,15 +13,10 @@ from pyspark.sql import functions as F
 from herdcast.operators import mixed as mx
 from herdcast.schema import HYGIENE_LEVELS, ModelSpec, Options
 
-MAX_LEVELS = 200       # a fixed-effect factor is dummy coded, so its Gram matrix must stay small
-
 
 def level_counts(df: DataFrame, col: str) -> list[str]:
     """Levels of a factor, the most frequent first and the rest in order."""
-    rows = (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-            .limit(MAX_LEVELS + 1).collect())
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{col} has too many levels for a fixed effect; leave it out of the terms")
+    rows = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r[0]: r[1] for r in rows}
     if not counts:
         return []
@@ -30,8 +25,14 @@ def level_counts(df: DataFrame, col: str) -> list[str]:
 
 
 def expand_terms(terms: Sequence[str], levels: dict[str, list[str]]) -> dict[str, Column]:
-    """Formula terms to named design columns, intercept first."""
-    out = {"(Intercept)": F.lit(1.0)}
+    """Formula terms to named design columns, intercept first.
+
+    A level that ``levels`` does not name makes the intercept null, and with it any prediction.
+    """
+    known = F.lit(True)
+    for name in (m.group(1) for t in terms if (m := re.fullmatch(r"factor\((\w+)\)", t))):
+        known = known & F.col(name).isin(levels[name])
+    out = {"(Intercept)": F.when(known, F.lit(1.0))}
     for term in terms:
         if m := re.fullmatch(r"factor\((\w+)\)", term):
             name = m.group(1)
@@ -94,7 +95,6 @@ def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Op
         m = re.fullmatch(r"factor\((\w+)\)", term)
         if m and m.group(1) not in levels:
             levels[m.group(1)] = level_counts(group, m.group(1))
-    levels.setdefault("Farm", level_counts(group, "Farm"))
     design = expand_terms(spec.terms, levels)
     names = list(design)
     rows = (group.filter(F.col("TotalFEC") >= options.min_n)
@@ -125,11 +125,23 @@ def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Op
     shift = float(np.nansum(slopes * mean[1:k]))
     fit.beta = np.append(fit.beta[0] + mean[k] - shift, slopes)
     weather = [c for c in group.columns if re.match(r"(Temp|RelHumid|AbsHumid)_", c)]
+    folds = _every_fold(group, folds, fit)
     means = group.agg(F.avg("TotalAnimals").alias("TotalAnimals"),
                       *[F.avg(c).alias(c) for c in weather]).first().asDict()
     return GroupFit(design, fit, folds, levels, means)
 
 
+def _every_fold(group: DataFrame, folds: DataFrame, fit: mx.Fit) -> DataFrame:
+    """A fold for every farm-year of the frame: one without a usable row leaves nothing out."""
+    effect = F.lit(0.0)
+    for year, value in fit.year_effect.items():
+        effect = F.when(F.col("Year") == F.lit(year), F.lit(value)).otherwise(effect)
+    whole = {"beta": F.array(*[F.lit(None if np.isnan(b) else float(b)).cast("double") for b in fit.beta]), "year_effect": effect,
+             "sigma2": F.lit(float(fit.sigma2)), "ratio_group": F.lit(float(fit.ratio_group)), "ratio_year": F.lit(float(fit.ratio_year))}
+    every = group.select("Farm", "Year").where("Farm IS NOT NULL AND Year IS NOT NULL").distinct()
+    return every.join(folds, ["Farm", "Year"], "left").withColumns({k: F.coalesce(k, v) for k, v in whole.items()})
+
+
 def _dot(design: dict[str, Column], coef) -> Column:
     total = F.lit(0.0)
     for i, x in enumerate(design.values()):

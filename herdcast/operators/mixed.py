@@ -18,7 +18,7 @@ exactly from the per-year sums.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -276,7 +276,7 @@ class Accumulated:
     fold: list[str]
     nodes: np.ndarray
     grams: DataFrame
-    terms: DataFrame
+    groups: DataFrame       # one row per random-intercept group: the fold, its weighted sums, its weight
 
 
 def accumulate(rows: DataFrame, cols: Sequence[str], weight: Column, group: Sequence[str],
@@ -284,25 +284,22 @@ def accumulate(rows: DataFrame, cols: Sequence[str], weight: Column, group: Sequ
                fold_salts: int = SALTS) -> Accumulated:
     """Sufficient statistics of ``rows`` in two passes, neither holding a group in a task.
 
-    The Gram pass streams rows where they lie. The group pass sums per group inside the
-    JVM with map-side combining, so a hot group is reduced before it is shuffled, then
-    spreads the groups of a fold over ``fold_salts`` tasks.
+    The Gram pass streams rows where they lie, or with folds a fold's rows in ``fold_salts`` tasks, so
+    that no task holds the matrices of all folds. The group pass sums per group inside the JVM with
+    map-side combining, so a hot group is reduced before it is shuffled. A group stays one short
+    row: what it adds at the nodes is worked out where it is used.
     """
     cols, fold = list(cols), list(fold)
     nodes = chebyshev_nodes(mean_weight)
     rows = rows.withColumn("_w", weight)
-    grams = rows.select(*fold, "_w", *cols).mapInPandas(
+    at = rows.repartition(*fold, F.pmod(F.xxhash64(*group), F.lit(fold_salts))) if fold else rows
+    grams = at.select(*fold, "_w", *cols).mapInPandas(
         _gram_partials(cols, fold), _schema(rows, fold))
     per_group = rows.groupBy(*dict.fromkeys([*fold, *group])).agg(
         F.sum("_w").alias("_w"), *[F.sum(F.col(c) * F.col("_w")).alias(c) for c in cols])
-    if fold:
-        salt = F.pmod(F.xxhash64(*group), F.lit(fold_salts))
-        per_group = per_group.repartition(*fold, salt)
-    terms = per_group.select(*fold, "_w", *cols).mapInPandas(
-        _node_partials(cols, fold, nodes), _schema(rows, fold))
-    grams, terms = (_sum_blobs(d if fold else _spread(d), fold or [SPREAD])
-                    for d in (grams, terms))
-    return Accumulated(cols, fold, nodes, grams.persist(), terms.persist())
+    per_group = per_group.select(*fold, "_w", *cols)
+    grams = _sum_blobs(grams if fold else _spread(grams), fold or [SPREAD])
+    return Accumulated(cols, fold, nodes, grams.persist(), per_group.persist())
 
 
 def _unpack(gram: np.ndarray, terms: np.ndarray, q: int, n_nodes: int):
@@ -320,7 +317,13 @@ def total_moments(acc: Accumulated, year: str | None = None) -> Moments:
         if year:
             return {r[0]: np.frombuffer(r[1]) for r in _sum_blobs(df, [year]).collect()}
         return {None: sum(np.frombuffer(r["blob"]) for r in df.select("blob").collect())}
-    grams, terms = read(acc.grams), read(acc.terms)
+    keys = [year] if year else []
+    groups = acc.groups.select(*keys, "_w", *acc.cols)
+    if year:        # a task sees few years, so it holds few of their sums
+        groups = groups.repartition(year, F.pmod(F.hash("_w", *acc.cols), F.lit(SALTS)))
+    parts = groups.mapInPandas(_node_partials(acc.cols, keys, nodes=acc.nodes), _schema(acc.groups, keys))
+    terms = read(parts if year else _sum_blobs(_spread(parts), [SPREAD]))
+    grams = read(acc.grams)
     names = sorted(terms, key=lambda k: (k is None, k))
     parts = [_unpack(grams[k], terms[k], q, nn) for k in names]
     return Moments(sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts),
@@ -351,27 +354,28 @@ def fit_excluding(acc: Accumulated, total: Moments, p: int, year: str, use_group
                   use_year: bool) -> DataFrame:
     """One refit per fold with that fold left out; the folds are solved in parallel.
 
+    A solver task holds one fold's matrix and its few groups.
+
     Gives per fold the coefficients in the order of ``acc.cols`` (null where a term had to be
     dropped), the ratios, and the fold's own year effect if other folds still inform it.
     """
-    q, nodes, fold = len(acc.cols), acc.nodes, acc.fold
-    both = acc.grams.withColumnRenamed("blob", "g").join(
-        acc.terms.withColumnRenamed("blob", "t"), list(fold))
-    kinds = dict(both.dtypes)
+    q, nodes, fold, cols = len(acc.cols), acc.nodes, acc.fold, acc.cols
+    kinds = dict(acc.grams.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in fold] + [
         "beta array<double>", "year_effect double", "sigma2 double", "ratio_group double",
         "ratio_year double"])
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for _, r in pdf.iterrows():
-                part = _unpack(np.frombuffer(r["g"]), np.frombuffer(r["t"]), q, len(nodes))
-                rest = without(total, part, r[year])
-                f = Problem(rest, p, nodes, use_group, use_year).optimum()
-                beta = [None if np.isnan(b) else float(b) for b in f.beta]
-                out.append([*[r[c] for c in fold], beta, f.year_effect.get(r[year], 0.0),
-                            f.sigma2, f.ratio_group, f.ratio_year])
-            yield pd.DataFrame(out, columns=[*fold, "beta", "year_effect", "sigma2",
-                                             "ratio_group", "ratio_year"])
-    return both.repartition(*fold).mapInPandas(run, schema)
+    names = [*fold, "beta", "year_effect", "sigma2", "ratio_group", "ratio_year"]
+
+    def run(gram: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+        if gram.empty or groups.empty:
+            return pd.DataFrame(columns=names)
+        r = gram.iloc[0]
+        s, w = groups[cols].to_numpy(dtype="float64"), groups["_w"].to_numpy(dtype="float64")
+        terms = np.append(group_terms(s, w, nodes).ravel(), np.append(s.sum(axis=0), w.sum()))
+        rest = without(total, _unpack(np.frombuffer(r["blob"]), terms, q, len(nodes)), r[year])
+        f = Problem(rest, p, nodes, use_group, use_year).optimum()
+        beta = [None if np.isnan(b) else float(b) for b in f.beta]
+        return pd.DataFrame([[*[r[c] for c in fold], beta, f.year_effect.get(r[year], 0.0),
+                              f.sigma2, f.ratio_group, f.ratio_year]], columns=names)
+    return acc.grams.groupBy(*fold).cogroup(acc.groups.groupBy(*fold)).applyInPandas(run, schema)

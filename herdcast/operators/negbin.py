@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from herdcast.operators import checks as C
+
 
 @dataclass
 class NegBinFit:
@@ -25,9 +27,11 @@ class NegBinFit:
 
 def prepare(rows: DataFrame, count: str = "Count", predictor: str = "totpred",
             sensitivity: str = "Sensitivity") -> DataFrame:
-    """Rounded counts, predictor and the weight log(100 / sensitivity)."""
+    """Rounded counts, predictor and the weight log(100 / sensitivity). A row that lacks one of them is an error."""
+    lacking = rows.filter(F.col(count).isNull() | F.col(predictor).isNull() | F.col(sensitivity).isNull())
+    C.require(lacking.select(count, predictor, sensitivity), "a row lacks its count, prediction or sensitivity")
     return rows.select(F.bround(count, 0).alias("y"), F.col(predictor).alias("x"),
-                       F.log(F.lit(100.0) / F.col(sensitivity)).alias("w")).dropna()
+                       F.log(F.lit(100.0) / F.col(sensitivity)).alias("w"))
 
 
 def _asymptotic(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

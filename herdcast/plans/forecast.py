@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from herdcast.functions import expr as X
+from herdcast.operators import checks as C
 from herdcast.operators import features as ft
 from herdcast.operators import lags as L
 from herdcast.operators.backfit import DOSE_FLAGS
@@ -191,6 +192,10 @@ def forward_predict(fec: DataFrame, animal: DataFrame, locations: DataFrame,
     """
     options = models.options
     facts = materialise(sheet_facts(fec, models), "sheet-facts")
+    unseen = locations.select("Farm", "Hygiene").distinct()
+    for name, levels in models.group.levels.items():
+        if f"factor({name})" in models.spec.terms and name in unseen.columns:
+            C.require(unseen.filter(~F.col(name).isin(levels)).select(name), f"{name} was not in the fitted data")
     samplings = ft.sampling_events(facts, animal, locations, options)
     hyg = locations.select("Farm", "Location", "Year", "Hygiene")
     attrs = (animal.filter(F.col("Location").isNotNull())

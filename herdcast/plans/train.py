@@ -54,6 +54,7 @@ def validate_tables(tables: HerdTables) -> None:
     C.require(C.year_coverage(tables.fec, {"Weather": tables.weather, "Animal": tables.animal,
                                            "Locations": tables.locations}), "year missing")
     C.require(C.year_span(tables.fec).filter("NOT ok"), "need two or more consecutive years")
+    C.require(C.negative_counts(tables.fec), "negative count")
 
 
 _WEATHER_USED = ("Temp_avg", "Temp_frost", "Temp_low", "RelHumid", "AbsHumid")
@@ -90,13 +91,16 @@ def training_rows(rows: DataFrame, spec: ModelSpec) -> DataFrame:
 
 
 def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Options = Options(),
-               years: Sequence[int] | None = None, validate: bool = False) -> FittedModels:
-    """The whole chain.
+               years: Sequence[int] | None = None, validate: bool = True, as_of_year: int | None = None,
+               n_years: int = 10) -> FittedModels:
+    """The whole chain, of the given ``years`` or of the ``n_years`` up to ``as_of_year``.
 
     Frames that several passes read (facts, location-weeks, individual rows) are written once
     to the shared folder; every pass over them is an aggregate whose result is a few small
     matrices.
     """
+    if years is None and as_of_year is not None:
+        years = range(as_of_year - n_years + 1, as_of_year + 1)
     if years is not None:
         tables = tables.years(years)
     if validate:
@@ -106,6 +110,8 @@ def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Optio
     rolling = materialise(wx.rolling_weather(tables.weather), "rolling")
     group_data = materialise(ft.group_model_data(facts, tables.animal, tables.locations, rolling,
                                                  options), "group")
+    if validate:
+        C.require(C.group_invariants(group_data).select("Location", "Year", "Week"), "more animals counted or treated than there are")
     group = fit_group_model(group_data, spec, options)
     rows = materialise(predicted_rows(tables, group, rolling, options, spec), "rows")
     train = materialise(training_rows(rows, spec), "train")

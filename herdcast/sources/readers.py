@@ -78,9 +78,9 @@ def validate_sheet(sheet: DataFrame, options: Options = Options()) -> None:
 
 
 def load_dosing_sheets(sheet: DataFrame, locations: DataFrame, header: DataFrame | None = None,
-                       options: Options = Options(), validate: bool = True
-                       ) -> tuple[DataFrame, DataFrame]:
-    """Animal rows and weekly facts of all farm-year sheets at once.
+                       options: Options = Options(), validate: bool = True,
+                       stored: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Animal rows and weekly facts of all farm-year sheets at once, appended to the ``stored`` ones if given.
 
     ``sheet`` holds Farm, Year, the leading columns and F/T week columns as text; ``header``
     the row of dates of each sheet (omit it when the columns are calendar weeks already).
@@ -90,8 +90,22 @@ def load_dosing_sheets(sheet: DataFrame, locations: DataFrame, header: DataFrame
         validate_sheet(sheet, options)
         long = conform.unpivot_weeks(sheet, ("Farm", "Year", "Name"))
         C.require(C.text_in_count(long, options.drug_codes), "treatment in a count column")
+        C.require(C.unknown_location(sheet, locations), "unknown location")
+        if header is not None:
+            C.require(C.missing_dates(sheet, header), "sheet without dates")
     animals = conform.conform_animals(sheet, locations, options)
-    return animals, conform.conform_facts(sheet, locations, header)
+    facts = conform.conform_facts(sheet, locations, header)
+    if validate:
+        keyed = sheet.withColumn("AnimalID", X.make_key(F.col("Farm"), F.col("Name")))
+        cells = conform.parse_observations(conform.unpivot_weeks(keyed, ("AnimalID", "Year")))
+        C.require(C.one_obs_per_week(cells), "more than one observation in a week")
+        C.require(C.negative_counts(facts), "negative count")
+        before = stored or (None, None)
+        return (append_checked(before[0], animals, ("Farm", "AnimalID", "Year"), "animal"),
+                append_checked(before[1], facts, ("AnimalID", "Year", "Week"), "count"))
+    if stored is not None:
+        return stored[0].unionByName(animals), stored[1].unionByName(facts)
+    return animals, facts
 
 
 def load_weather(raw: DataFrame, stored: DataFrame | None = None,

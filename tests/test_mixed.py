@@ -281,3 +281,42 @@ def test_dispersion_is_the_maximum(spark):
     assert f.theta == pytest.approx(theta, rel=0.15) and f.beta == pytest.approx(0.4, rel=0.05)
     with pytest.raises(ValueError):
         nb.fit_dispersion(df.withColumn("w", F.lit(-0.1)))
+
+
+def _herd(farms, rng, years=(2001, 2002)):
+    import pandas as pd
+    rows = []
+    for f in range(farms):
+        for y in years:
+            for loc in range(2):
+                for week in (20, 24, 28):
+                    a = rng.normal()
+                    rows.append((f"F{f}", y, f"F{f}_L{loc}_{y}", "None", 20.0, 12, a, 0.5 * a + 0.1 * (f % 7) + rng.normal(0, 0.1), 15))
+    return pd.DataFrame(rows, columns=["Farm", "Year", "LocationYear", "Hygiene", "TotalAnimals", "Week", "a", "meanLogFEC", "TotalFEC"])
+
+
+@pytest.mark.parametrize("terms", [("a",), ("factor(Farm)", "a")])
+def test_any_number_of_farms(spark, terms):
+    from herdcast.operators.group_model import fit_group_model
+    from herdcast.schema import ModelSpec
+    farms = 250 if len(terms) == 1 else 40
+    group = spark.createDataFrame(_herd(farms, np.random.default_rng(1)))
+    g = fit_group_model(group, ModelSpec(terms=terms))
+    assert abs(g.coefficients["a"] - 0.5) < 0.05
+    assert g.folds.count() == 2 * farms
+
+
+def test_every_farm_year_has_a_fold_and_unseen_farms_have_no_prediction(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from herdcast.operators.group_model import fit_group_model, predict_excluded, predict_single
+    from herdcast.schema import ModelSpec
+    frame = _herd(4, np.random.default_rng(2))
+    small = frame[frame.Farm == "F1"].assign(Year=2003, TotalFEC=1)
+    group = spark.createDataFrame(pd.concat([frame, small]))
+    g = fit_group_model(group, ModelSpec(terms=("factor(Farm)", "a")))
+    out = predict_excluded(group, g, "p").where("Year = 2003")
+    assert out.count() == 12 and out.where("p IS NULL").count() == 0
+    new = group.limit(1).withColumn("Farm", F.lit("new"))
+    assert new.select(predict_single(g).alias("p")).first().p is None
