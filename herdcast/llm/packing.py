@@ -112,34 +112,87 @@ def _dominating(left: dict[int, int], w: int, capacity: int) -> tuple[int, ...]
     return None
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids_crc32) of every document's ids and the end id.
+# How the tokenizer's rules cut a word, and the letters for which lower case and normal form are plain.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = r"[!-~\u00a1-\u00ac\u00ae-\u00ff\u0100-\u012f\u0131-\u024f]+"
+
+
+class Encoder:
+    """Ids of words as bytes, remembered.
 
-    The tokenizer's text is split at blanks first: its rules never join over white space, so words
-    are encoded once and remembered.
+    This tokenizer never joins over white space, and inside a plain word it cuts by ``_CUT``. Parts are encoded
+    once, many in one text, and told apart by the ids that end a word. Other words are encoded as they are.
     """
+
+    def __init__(self, rules: str, most: int = 400_000):
+        import os
+
+        import regex
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"          # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+        self.encoder = Tokenizer.from_str(rules)
+        self.ends = np.zeros(self.encoder.get_vocab_size(), bool)
+        self.ends[[i for token, i in self.encoder.get_vocab().items() if token.endswith("</w>")]] = True
+        self.specials = [t.content for t in self.encoder.get_added_tokens_decoder().values()]
+        self.cut, self.plain = regex.compile(_CUT), regex.compile(_PLAIN)
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.most = most
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, np.uint32).tobytes() for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 100):
+            some = parts[at:at + 100]
+            data = self._encode([" ".join(some)])[0]
+            ends = (np.flatnonzero(self.ends[np.frombuffer(data, np.uint32)]) + 1) * 4
+            if len(ends) == len(some) and ends[-1] == len(data):
+                self.parts.update((p, data[i:j]) for p, i, j in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+            else:
+                self.parts.update(zip(some, self._encode(some), strict=True))
+
+    def ids(self, words: list[str]) -> bytes:
+        if len(self.words) > self.most:
+            self.words.clear()
+        if len(self.parts) > self.most:
+            self.parts.clear()
+        new = set(words).difference(self.words)
+        if not new:
+            return b"".join(map(self.words.__getitem__, words))
+        cuts, odd = {}, []
+        for w in new:
+            if self.plain.fullmatch(w) and ("<|" not in w or not any(x in w for x in self.specials)):
+                cuts[w] = self.cut.findall(w.lower())
+            else:
+                odd.append(w)
+        self._learn_parts(list({p for own in cuts.values() for p in own}.difference(self.parts)))
+        part = self.parts.__getitem__
+        for w, own in cuts.items():
+            self.words[w] = part(own[0]) if len(own) == 1 else b"".join(map(part, own))
+        self.words.update(zip(odd, self._encode(odd), strict=True))
+        return b"".join(map(self.words.__getitem__, words))
+
+
+def blank_words(text: str) -> list[str]:
+    """Words between white space; the four separators that only Python counts as blank stay inside."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
+    return text.split()
+
+
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
+    """Pieces (doc_id, piece, start, length, ids_crc32) of every document's ids and the end id."""
     with open(tokenizer, encoding="utf-8") as f:
         rules = f.read()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
-
-        from tokenizers import Tokenizer
-        encoder = Tokenizer.from_str(rules)
-        known: dict[str, np.ndarray] = {}
+        encoder, end = Encoder(rules), np.uint32(end_id).tobytes()
         for ids, texts in columns_of(batches, ("doc_id", "text")):
             rows: list[tuple] = []
             for doc, text in zip(ids, texts, strict=True):
-                words = [w for w in (text or "").replace("\n", " ").replace("\t", " ").split(" ") if w]
-                new = list({w for w in words if w not in known})
-                if len(known) + len(new) > 600_000:
-                    known.clear()
-                    new = list(set(words))
-                for at in range(0, len(new), 20_000):
-                    part = new[at:at + 20_000]
-                    for w, e in zip(part, encoder.encode_batch(part, add_special_tokens=False), strict=True):
-                        known[w] = np.array(e.ids, np.uint32).tobytes()
-                data = b"".join([known[w] for w in words]) + np.uint32(end_id).tobytes()
+                data = encoder.ids(blank_words(text or "")) + end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[at:at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(own) // 4, zlib.crc32(own)))
