@@ -168,11 +168,15 @@ def fit_offset_slopes(rows: DataFrame, models: dict[str, tuple[str, ...]], respo
     return rows.agg(F.array(*out).alias("m")).select(F.inline("m"))
 
 
-def fit_backfit(rows: DataFrame, spec: ModelSpec = ModelSpec()) -> Backfit:
-    """``rows`` (persisted, from ``prepare_rows``) to converged coefficients."""
+def fit_backfit(rows: DataFrame, spec: ModelSpec = ModelSpec(), every: DataFrame | None = None) -> Backfit:
+    """``rows`` (persisted, from ``prepare_rows``) to converged coefficients.
+
+    Reference levels are the most frequent among ``every`` individual row, where given.
+    """
+    every = rows if every is None else every
     centre = {k: v for k, v in ft.center_means(rows).first().asDict().items() if v is not None}
-    levels = {"Sex": _ordered(level_counts(rows, "Sex"), SEX_LEVELS),
-              "AgeCat": _ordered(level_counts(rows, "AgeCat"), AGE_LEVELS)}
+    levels = {"Sex": _ordered(level_counts(every, "Sex", SEX_LEVELS), SEX_LEVELS),
+              "AgeCat": _ordered(level_counts(every, "AgeCat", AGE_LEVELS), AGE_LEVELS)}
     seen = level_counts(rows, "LastDoseCat")
     levels["LastDoseCat"] = [v for v in DOSE_CAT_LEVELS if v in seen or v == ">12"]
     return fit_with_levels(rows, spec, levels, centre)

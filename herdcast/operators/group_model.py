@@ -14,13 +14,14 @@ from herdcast.operators import mixed as mx
 from herdcast.schema import HYGIENE_LEVELS, ModelSpec, Options
 
 
-def level_counts(df: DataFrame, col: str) -> list[str]:
-    """Levels of a factor, the most frequent first and the rest in order."""
+def level_counts(df: DataFrame, col: str, declared: Sequence[str] = ()) -> list[str]:
+    """Levels of a factor, the most frequent first (ties: first declared) and the rest in order."""
     rows = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).collect()
     counts = {r[0]: r[1] for r in rows}
     if not counts:
         return []
-    top = min(counts, key=lambda v: (-counts[v], v))
+    place = {v: i for i, v in enumerate(declared)}
+    top = min(counts, key=lambda v: (-counts[v], place.get(v, len(place)), v))
     return [top] + sorted(v for v in counts if v != top)
 
 

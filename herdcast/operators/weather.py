@@ -59,7 +59,7 @@ def with_calendar_parts(daily: DataFrame) -> DataFrame:
 
 
 def for_year(daily: DataFrame, year: int) -> DataFrame:
-    """The year's daily table for the dosing tool: the previous year's days get week numbers
+    """The year's daily table of a season: the previous year's days get week numbers
     counted back from the year's first Monday (0, -1, ...), down to week -36."""
     week = cal.week_backnumber(F.col("Date"), F.lit(year))
     first = F.make_date(F.lit(year - 1), F.lit(1), F.lit(1))

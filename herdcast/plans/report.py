@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from herdcast.operators import features as ft
 from herdcast.operators.group_model import GroupFit, prediction_grid
 from herdcast.plans.train import FittedModels
-from herdcast.schema import PM_TERMS
+from herdcast.schema import AGE_LEVELS, DOSE_CAT_LEVELS, HYGIENE_LEVELS, PM_TERMS, SEX_LEVELS
 
 # The weather terms listed in the coefficient table, per lag.
 WEATHER_TERMS = ("Temp_frost_{k}", "I(Temp_frost_{k}^2/10)", "Temp_avg_{k}",
@@ -33,17 +33,17 @@ def _section(values: dict[str, float], names: list[str]) -> list[tuple[str, floa
 
 def coefficient_rows(m: FittedModels, pm: dict[str, float], pm_threshold: float
                      ) -> list[tuple[str, str, float]]:
-    """(section, name, value) in the order of the dosing tool; absent terms are 0."""
+    """(section, name, value) with every declared level in its declared order; absent terms are 0."""
     check_pm(pm, pm_threshold)
     lv, own = m.group.levels, m.chain
     weather = [t.format(k=k) for k in WEATHER_TERM_LAGS for t in WEATHER_TERMS]
-    group_names = (["(Intercept)", "sdoy", "cdoy"] + [f"Farm{f}" for f in lv["Farm"]]
-                   + [f"Hygiene{h}" for h in lv["Hygiene"]] + ["MeanAge", "log(TotalAnimals)"]
+    group_names = (["(Intercept)", "sdoy", "cdoy"] + [f"Farm{f}" for f in lv.get("Farm", [])]
+                   + [f"Hygiene{h}" for h in HYGIENE_LEVELS] + ["MeanAge", "log(TotalAnimals)"]
                    + [f"DoseProp{k}" for k in (4, 8, 12)] + weather)
     group = _section(m.group.coefficients, group_names)
     group[0] = ("GroupIntercept", group[0][1])
-    common_names = ["(Intercept)"] + [f + v for f in ("Sex", "AgeCat", "LastDoseCat")
-                                      for v in own.levels[f]]
+    declared = {"Sex": SEX_LEVELS, "AgeCat": AGE_LEVELS, "LastDoseCat": DOSE_CAT_LEVELS}
+    common_names = ["(Intercept)"] + [f + v for f, values in declared.items() for v in values]
     common = _section(own.common, common_names)
     common[0] = ("CommonIntercept", common[0][1])
     common.append(("ResidualSD", m.dispersion.residual_sd))
@@ -68,7 +68,7 @@ def coefficient_table(spark: SparkSession, m: FittedModels, pm: dict[str, float]
                       pm_threshold: float, layout: bool = False) -> DataFrame:
     """Ordered table (ord, section, groupcoefnames, groupcoefs).
 
-    ``layout`` adds the title and blank lines of the file the dosing tool reads.
+    ``layout`` adds the title and blank lines of the written list.
     """
     out, last = [], None
     for section, name, value in coefficient_rows(m, pm, pm_threshold):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -111,7 +112,9 @@ def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Optio
     group_data = materialise(ft.group_model_data(facts, tables.animal, tables.locations, rolling,
                                                  options), "group")
     if validate:
-        C.require(C.group_invariants(group_data).select("Location", "Year", "Week"), "more animals counted or treated than there are")
+        herd = ft.location_summary(tables.animal, tables.locations).select("Location", "Year", "TotalAnimals")
+        weeks = ft.group_week_summary(facts).join(herd, ["Location", "Year"])
+        C.require(C.group_invariants(weeks).select("Location", "Year", "Week"), "more animals counted or treated than there are")
     group = fit_group_model(group_data, spec, options)
     rows = materialise(predicted_rows(tables, group, rolling, options, spec), "rows")
     train = materialise(training_rows(rows, spec), "train")
@@ -119,7 +122,9 @@ def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Optio
         flags = DOSE_FLAGS[spec.txtime]
         C.require(C.dosing_leverage(train, list(flags.values())).filter("NOT ok"),
                   "too few treated or untreated rows")
-    chain = fit_backfit(train, spec)
+    chain = fit_backfit(train, spec, rows)
+    if not chain.converged:
+        warnings.warn(f"the model did not converge in {chain.iterations} rounds", stacklevel=2)
     dispersion = fit_dispersion(prepare(train.withColumn("totpred", chain.total)))
     return FittedModels(group, chain, dispersion, spec, options, group_data, rolling, train)
 
