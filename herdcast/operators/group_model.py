@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from herdcast.operators import mixed as mx
 from herdcast.schema import HYGIENE_LEVELS, ModelSpec, Options
+from herdcast.session import materialise
 
 
 def level_counts(df: DataFrame, col: str, declared: Sequence[str] = ()) -> list[str]:
@@ -121,12 +122,15 @@ def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Op
     fit = mx.fit_total(total, k, acc.nodes, spec.random_location_year, spec.random_year)
     folds = mx.fit_excluding(acc, total, k, "Year", spec.random_location_year, spec.random_year)
     rescale = _original_scale(names, mean, scale)
-    folds = folds.withColumn("beta", rescale(F.col("beta"))).persist()
+    folds = folds.withColumn("beta", rescale(F.col("beta")))
     slopes = fit.beta[1:] / scale[1:k]
     shift = float(np.nansum(slopes * mean[1:k]))
     fit.beta = np.append(fit.beta[0] + mean[k] - shift, slopes)
     weather = [c for c in group.columns if re.match(r"(Temp|RelHumid|AbsHumid)_", c)]
-    folds = _every_fold(group, folds, fit)
+    # written, so that its size is known where the individual rows are joined to it
+    folds = materialise(_every_fold(group, folds, fit), "folds")
+    for held in (rows, acc.grams, acc.groups):
+        held.unpersist()
     means = group.agg(F.avg("TotalAnimals").alias("TotalAnimals"),
                       *[F.avg(c).alias(c) for c in weather]).first().asDict()
     return GroupFit(design, fit, folds, levels, means)

@@ -18,6 +18,7 @@ from herdcast.operators import features as ft
 from herdcast.operators import lags as L
 from herdcast.operators.backfit import DOSE_FLAGS
 from herdcast.operators.group_model import GroupFit, predict_single
+from herdcast.plans.report import check_pm
 from herdcast.plans.train import FittedModels
 from herdcast.schema import Options
 from herdcast.session import materialise
@@ -293,6 +294,7 @@ def get_predictions(fec: DataFrame, animal: DataFrame, locations: DataFrame, mod
     """
     if sorted(thresholds.values()) != [thresholds[k] for k in ("VeryHigh", "High", "Normal")]:
         raise ValueError("the three thresholds must rise from VeryHigh to Normal")
+    check_pm(pm, pm_threshold)
     if not 0 < prob_threshold < 1:
         raise ValueError("prob_threshold must lie strictly between 0 and 1")
     raw = forward_predict(fec, animal, locations, models, max(thresholds.values()))
