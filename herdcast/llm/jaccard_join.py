@@ -99,7 +99,7 @@ def _histograms(s: np.ndarray, join: Join, lows: list[int]) -> tuple[int, list[n
     """The size class, and the counts of shingles by range of the order for it and the class below."""
     cuts = _cuts(len(s), join, lows)
     counts = [np.bincount(_part(s, 2 * (d + 1)).astype(np.int64), minlength=2 * (d + 1)) for _, d in cuts]
-    return cuts[0][0], [np.minimum(c, 32767).astype(np.int16) for c in (counts if len(counts) == 2 else [counts[0], counts[0][:0]])]
+    return cuts[0][0], [np.minimum(c, 127).astype(np.int8) for c in (counts if len(counts) == 2 else [counts[0], counts[0][:0]])]
 
 
 def _sets(texts: list, join: Join, hashes: WordHash, lows: list[int]) -> Iterator[np.ndarray]:
@@ -162,12 +162,12 @@ def coarse_segments(texts: DataFrame, join: Join) -> DataFrame:
                 for k in np.flatnonzero(edges[1:] > edges[:-1]):
                     rows.append((rep, k, s[edges[k]:edges[k + 1]].view(np.int64), size_class, own, low))
                     size_class = own = low = None
-            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int16()), pa.list_(pa.int16()))
+            kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int8()), pa.list_(pa.int8()))
             columns = zip(*rows, strict=True) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                              names=["rep", "frag", "tokens", "class", "own", "low"])
 
-    return texts.mapInArrow(run, "rep long, frag int, tokens array<long>, class int, own array<short>, low array<short>")
+    return texts.mapInArrow(run, "rep long, frag int, tokens array<long>, class int, own array<byte>, low array<byte>")
 
 
 def _can_link(join: Join) -> Column:
@@ -237,31 +237,35 @@ def class_roots(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias("qs"))
     more = materialise(_near_pairs(partners.select("rep", F.explode("qs").alias("q")), shapes, join), "pairs")
     roots, tried, every, rounds = met.select("rep", F.col("rep").alias("root")), more, False, 0
+    key = Window.partitionBy("key")
     while True:
         found = materialise(linked(more, segments, join), "found")
-        if not found.isEmpty():
+        progress = not found.isEmpty()
+        if progress:
             roots = _merged(roots, found)
         if every:
             return roots
-        placed = buckets.join(roots, "rep")
-        mixed = placed.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(
-            F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("same"), F.count("*").alias("parts")).where("parts > 1")
-        apart = materialise(placed.join(mixed.select("key", (F.col("all") * F.col("all") - F.col("same")).alias("open")), "key"), "apart")
-        left = apart.groupBy("key").agg(F.first("open").alias("open"), F.count("*").alias("c")).agg(
-            F.sum("open").alias("open"), F.sum("c").alias("c")).first()
-        if not left["c"]:
+        # rows of buckets that still hold several parts; main is the bucket's largest part
+        placed = buckets.join(roots, "rep").withColumn("c", F.count("*").over(Window.partitionBy("key", "root")))
+        apart = materialise(placed.withColumn("main", F.max(F.struct("c", "root")).over(key)["root"])
+                            .withColumn("several", F.min("root").over(key) != F.max("root").over(key))
+                            .where("several").select("key", "rep", "n", "root", "main"), "apart")
+        if apart.isEmpty():
             return roots
-        every = left["open"] <= 8 * left["c"] or rounds >= 2
+        every = not progress or rounds >= 4
         if every:
-            # all pairs across parts that are left, compared in the join by their histograms
-            shaped = apart.join(shapes.drop("n"), "rep").select("key", "root", F.struct("rep", "n", "class", "own", "low").alias("x"))
-            other = shaped.select("key", F.col("root").alias("other"), F.col("x").alias("y"))
-            near_pairs = _ordered(shaped.join(other, (shaped["key"] == other["key"]) & (F.col("x.rep") < F.col("y.rep"))
-                                              & (F.col("root") != F.col("other")) & _can_link(join)).select("x", "y"))
+            # what is outside the main parts against all of the bucket, compared in the join by histograms
+            shape = F.struct("rep", "n", "class", "own", "low")
+            outside = apart.where("root <> main").join(shapes.drop("n"), "rep").select("key", "root", shape.alias("x"))
+            inside = apart.join(shapes.drop("n"), "rep").select("key", F.col("root").alias("other"), "main", shape.alias("y"))
+            once = (F.col("other") == F.col("main")) | (F.col("x.rep") < F.col("y.rep"))
+            near_pairs = _ordered(outside.join(inside, (outside["key"] == inside["key"]) & (F.col("root") != F.col("other"))
+                                               & once & _can_link(join)).select("x", "y"))
         else:
             # neighbours in an order that changes with the round, then across parts only
             shuffled = Window.partitionBy("key").orderBy(F.xxhash64("rep", F.lit(rounds)), "rep")
-            rows = apart.select("rep", "root", F.lag("rep").over(shuffled).alias("q"), F.lag("root").over(shuffled).alias("rq"))
+            others = F.array(*[F.struct(F.lag("rep", k).over(shuffled).alias("q"), F.lag("root", k).over(shuffled).alias("rq")) for k in (1, 2, 3)])
+            rows = apart.select("rep", "root", others.alias("others")).select("rep", "root", F.inline("others"))
             near_pairs = _near_pairs(rows.where("root <> rq").select("rep", "q"), shapes, join)
         more = materialise(near_pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
         tried = tried.union(more)
