@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group that shares 90 % of its three-word shingles."""
-    return jaccard_join.deduplicate(docs)
+    """Keeps one document of each group that shares 80 % of its five-word shingles."""
+    return jaccard_join.deduplicate(docs, jaccard_join.Join(width=5, percent=80))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ is no larger than the difference of the sets, rules most false pairs out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -77,13 +78,19 @@ def _part(s: np.ndarray, count: int) -> np.ndarray:
     return ((s >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
 
 
+def _slack(differ: int, least: int) -> int:
+    """Fragments beyond the needed ones, so that sets of ``least`` shingles or more rarely have as many empty."""
+    empty = (differ + 1) * math.exp(-least / (differ + 1))
+    return 1 + math.ceil(empty + 5 * math.sqrt(empty))
+
+
 def _fine_keys(s: np.ndarray, join: Join, lows: list[int]) -> np.ndarray:
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(s), dtype=np.uint64)])
     keys = [np.empty(0, np.uint64)]
     for scheme, differ in _cuts(len(s), join, lows):
         if differ == 0:
             continue                      # only equal sets can link here
-        slack = 1 + differ // 32
+        slack = _slack(differ, lows[scheme])
         count = differ + 1 + slack
         edges = np.searchsorted(_part(s, count), np.arange(count + 1, dtype=np.uint64))
         tag = np.arange(count, dtype=np.uint64) + np.uint64(scheme << 32)
