@@ -104,7 +104,7 @@ def train(sample: list[tuple[int, np.ndarray, np.ndarray]], languages: int, buck
 
 
 def fit(docs: DataFrame, held_out: int | None = 2, per_language: int = 600, buckets: int = 1 << 14, width: int = 16,
-        epochs: int = 12, rate: float = 0.5, precision: float = 0.99, seed: int = 5) -> LanguageModel:
+        epochs: int = 12, rate: float = 0.5, precision: float = 0.95, seed: int = 5) -> LanguageModel:
     """Learns from text and lang of documents whose crc32(doc_id) modulo 4 is not ``held_out``.
 
     At most about ``per_language`` documents of each language are used, picked by hash; of these a third is kept
