@@ -124,7 +124,7 @@ class Encoder:
     once, many in one text, and told apart by the ids that end a word. Other words are encoded as they are.
     """
 
-    def __init__(self, rules: str, most: int = 400_000):
+    def __init__(self, rules: str, most: int = 700_000):
         import os
 
         import regex
