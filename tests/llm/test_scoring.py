@@ -136,3 +136,43 @@ def test_calibration():
     p = language_id.softmax(5 * logits / t)
     ok = p.max(axis=1) >= least
     assert t > 1 and 0 < ok.mean() < 1 and (p.argmax(axis=1) == truth)[ok].mean() >= 0.97
+
+
+def test_lm_every_word_has_its_own_counts(spark):
+    """Prefixes are counted over all words, so the list kept by the workers changes no score."""
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    few, all_ = ({r.doc_id: r.score for r in lm_scoring.lm_scores(df, **o).collect()} for o in ({"frequent": 50}, {}))
+    assert all(abs(few[i] - all_[i]) < 1e-6 * abs(all_[i]) for i in all_)
+
+
+def test_prefix_counts_across_slices(spark):
+    rng = random.Random(5)
+    words = {(rng.randrange(2), bytes(rng.choice(b"ab\x01\xc3") for _ in range(rng.randint(1, 6)))) for _ in range(150)}
+    words |= {(0, b"\n"), (1, b"\n"), (1, b"x" * 90 + b"a"), (1, b"x" * 90 + b"b")}
+    rows = [(k, bytearray(w), rng.randint(0, 5), rng.randint(0, 5), 1) for k, w in words]
+    vocab = spark.createDataFrame(rows, "kind int, word binary, a long, b long, h long")
+    slices = lm_scoring.materialise(lm_scoring.sliced(vocab, words=7), "test-slices")
+    ends = lm_scoring.slice_ends(slices)
+    beyond = lm_scoring.beyond_slices(slices, ends, "ab")
+    want = Counter()
+    path = lambda w: "".join(f"{c:08b}" for c in (w if w == b"\n" else w + b" "))
+    for k, w, a, b, _ in rows:
+        bits = path(bytes(w))
+        for t in range(len(bits)):
+            want[k, bits[:t + 1]] += a + b
+    seen = 0
+    for s in lm_scoring._slices(slices.toArrow().to_batches()):
+        got = bit_model.prefix_counts(s.coded, s.kinds, (s.counts["a"] + s.counts["b"]).astype(float), beyond[s.id])
+        at = 0
+        for k, w in zip(s.kinds, s.coded, strict=True):
+            bits = "".join(f"{c:08b}" for c in w)
+            for t in range(len(bits)):
+                assert got[:, at].tolist() == [want[k, bits[:t] + "0"], want[k, bits[:t] + "1"]]
+                at += 1
+            seen += 1
+    assert seen == len(words) and len(ends) > 15
+
+
+def test_low_table_grows_with_the_contexts():
+    assert bit_model.low_bits_for(0) == bit_model.low_bits_for(1 << 20) == bit_model.LOW_BITS
+    assert bit_model.low_bits_for(10_000_000) == 25
