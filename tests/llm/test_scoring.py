@@ -176,3 +176,14 @@ def test_prefix_counts_across_slices(spark):
 def test_low_table_grows_with_the_contexts():
     assert bit_model.low_bits_for(0) == bit_model.low_bits_for(1 << 20) == bit_model.LOW_BITS
     assert bit_model.low_bits_for(10_000_000) == 25
+
+
+def test_lm_scores_know_the_mixing_fold(spark):
+    fold = {k: [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == k] for k in range(7)}
+    rng = random.Random(8)
+    rows = [(i, sentence(rng, 40), "en", "a") for k in (0, 1, 3) for i in fold[k][:30]]
+    rows += [(i, "qjvkzxw " * 20 + sentence(rng, 20), "en", "a") for i in fold[6][:30]]
+    one, other = fold[2][:2]
+    rows += [(one, "qjvkzxw", "en", "a"), (other, "wxzkvjq", "en", "a")]
+    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs_of(spark, rows)).where("held_out").collect()}
+    assert got[one] > got[other] + 3
