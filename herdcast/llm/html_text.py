@@ -3,7 +3,7 @@
 A page is cut into text blocks. The first pass decides blocks by the page's structure (menus, footers, forms,
 adverts and the like are no text), by link density, length, and density of stop words. Blocks too short to tell
 stay open, and the second pass gives them the label of the nearest decided neighbours. Where a page
-marks its article, neighbours are looked for inside it, and blocks outside are none of it.
+marks its article, both passes run inside it, and blocks outside are none of it.
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ BESIDE = frozenset("ad ads advert advertisement adverts advertising sidebar cook
                    "navbar navigation footer contentinfo complementary search comment comments disqus reply replies respond widget "
                    "pagination pager copyright disclaimer login signup toolbar".split())
 HEADER = frozenset("header masthead topbar".split())
-LINKS, SHORT, LONG, FEW_STOPS, MANY_STOPS = 0.2, 70, 200, 0.30, 0.32
+LINKS, SHORT, LONG = 0.2, 70, 200
+#: These go with the list of some ten words a language (running text has about 0.2); a page below LISTED is in none of its languages.
+FEW_STOPS, MANY_STOPS, LISTED = 0.08, 0.12, 0.04
 
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -168,8 +170,18 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def first_pass(block: Block) -> bool | None:
-    """Text, no text, or None where it is too short to tell."""
+def _stops(words: list[str]) -> int:
+    return sum(w.strip(".,;:!?\"'()") in _STOPS for w in words)
+
+
+def listed(blocks: list[Block]) -> bool:
+    """Whether the stop words say anything of a page: they do not in a language that the list lacks."""
+    words = [b.text.lower().split() for b in blocks if not b.beside and len(b.text) >= SHORT]
+    return sum(map(_stops, words)) >= LISTED * sum(map(len, words))
+
+
+def first_pass(block: Block, by_stops: bool = True) -> bool | None:
+    """Text, no text, or None where it is too short to tell, or long, of few stop words, and in an article."""
     if block.beside:
         return False
     size = len(block.text)
@@ -177,37 +189,47 @@ def first_pass(block: Block) -> bool | None:
         return False
     if size < SHORT:
         return None
+    if not by_stops:
+        return True if size > LONG else None
     words = block.text.lower().split()
-    stops = sum(w.strip(".,;:!?\"'()") in _STOPS for w in words) / len(words)
+    stops = _stops(words) / len(words)
     if stops >= MANY_STOPS or (size > LONG and stops >= FEW_STOPS):
         return True
     return None if stops >= FEW_STOPS or block.main else False
 
 
 def labels_of(blocks: list[Block]) -> list[bool]:
-    """Both passes. Open blocks of an article are text unless both decided neighbours in it are not."""
+    """Both passes. An open block gets the label its decided neighbours in the same part have. Where they differ, that of the
+    nearer one in an article, and none outside; where there are none or both are as near, an article's block is text."""
     marked = any(b.main and not b.beside for b in blocks)
-    first = [False if marked and not b.main else first_pass(b) for b in blocks]
+    by_stops = listed(blocks)
+    first = [False if marked and not b.main else first_pass(b, by_stops) for b in blocks]
     n = len(blocks)
-    before: list[bool | None] = [None] * n
-    after: list[bool | None] = [None] * n
+    before: list[tuple[int, bool] | None] = [None] * n                 # how far, label
+    after: list[tuple[int, bool] | None] = [None] * n
     for order, seen in ((range(n), before), (range(n - 1, -1, -1), after)):
-        part, last = None, None
+        part, last, far = None, None, 0
         for i in order:
             if blocks[i].beside:
                 continue                                # an advert inside says nothing of what is around it
             if blocks[i].main != part:
                 part, last = blocks[i].main, None
-            seen[i] = last
+            far += 1
+            seen[i] = None if last is None else (far, last)
             if first[i] is not None:
-                last = first[i]
+                last, far = first[i], 0
     out = []
     for i in range(n):
         if first[i] is not None:
             out.append(first[i])
             continue
-        near = [x for x in (before[i], after[i]) if x is not None]
-        out.append(any(near) if blocks[i].main and near else blocks[i].main > 0 if not near else all(near))
+        near = sorted(x for x in (before[i], after[i]) if x is not None)
+        if not near:
+            out.append(blocks[i].main > 0)
+        elif blocks[i].main and len(near) == 2 and near[0][0] == near[1][0]:
+            out.append(near[0][1] or near[1][1])
+        else:
+            out.append(near[0][1] if blocks[i].main else all(x for _, x in near))
     return out
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import re
 import struct
 import zlib
 from collections import Counter, defaultdict
@@ -45,6 +46,21 @@ def test_pages_without_article_go_by_the_two_passes():
     assert "cheap" not in html_text.main_text(page) and "link" not in html_text.main_text(page)
 
 
+def test_given_pages_without_their_article_tags(spark):
+    kept = total = 0
+    for r in spark.read.parquet(f"{MEDIUM}/pages.parquet").collect():
+        marked = html_text.main_text(r.html)
+        bare = html_text.main_text(re.sub(r"<(/?)(?:article|main)\b", r"<\1div", r.html))
+        total += len(marked)
+        kept += len(marked) if marked in bare else sum(len(x) for x in marked.split("\n") if x in bare.split("\n"))
+    assert kept > 0.9 * total
+
+
+def test_pages_in_a_language_without_list():
+    long = "Kissa istui talon katolla ja katseli hiljaista katua, jolla kukaan ei kulkenut enää illalla. " * 4
+    assert html_text.main_text(f"<body><p><a href=a>Etusivu</a></p><p>{long}</p><p>Lyhyt.</p><p>{long}</p></body>").count("Kissa") == 8
+
+
 def test_pages_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<article>" + "x " * 300_000)],
                                   "page_id long, url string, html string")
