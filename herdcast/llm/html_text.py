@@ -185,7 +185,7 @@ def first_pass(block: Block, by_stops: bool = True) -> bool | None:
     if block.beside:
         return False
     size = len(block.text)
-    if block.linked > LINKS * max(1, size) and not block.main:
+    if block.linked > LINKS * max(1, size):
         return False
     if size < SHORT:
         return None
@@ -195,7 +195,7 @@ def first_pass(block: Block, by_stops: bool = True) -> bool | None:
     stops = _stops(words) / len(words)
     if stops >= MANY_STOPS or (size > LONG and stops >= FEW_STOPS):
         return True
-    return None if stops >= FEW_STOPS or block.main else False
+    return None if stops >= FEW_STOPS or (block.main and size > LONG) else False
 
 
 def labels_of(blocks: list[Block]) -> list[bool]:

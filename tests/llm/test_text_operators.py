@@ -61,6 +61,16 @@ def test_pages_in_a_language_without_list():
     assert html_text.main_text(f"<body><p><a href=a>Etusivu</a></p><p>{long}</p><p>Lyhyt.</p><p>{long}</p></body>").count("Kissa") == 8
 
 
+def test_both_passes_decide_inside_an_article():
+    long = "The cat of the house was in the way of the dog and it is for the good of all that this is so with it. " * 3
+    links = "".join(f"<li><a href={i}>Another page of this site number {i}</a></li>" for i in range(5))
+    page = (f"<article><h1>Head</h1><p>{long}</p><p>Short one.</p><p>{long}</p><ul>{links}</ul><p>More</p><ul>{links}</ul>"
+            "<div>buy cheap things now online store discount price sale offer click here today free shipping worldwide</div></article>")
+    text = html_text.main_text(page)
+    one = " ".join(long.split())
+    assert text == f"Head\n{one}\nShort one.\n{one}"
+
+
 def test_pages_table(spark):
     pages = spark.createDataFrame([(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<article>" + "x " * 300_000)],
                                   "page_id long, url string, html string")
