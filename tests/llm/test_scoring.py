@@ -179,11 +179,14 @@ def test_low_table_grows_with_the_contexts():
 
 
 def test_lm_scores_know_the_mixing_fold(spark):
+    """Each of two words gains where it is the one planted in the mixing fold."""
     fold = {k: [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == k] for k in range(7)}
-    rng = random.Random(8)
-    rows = [(i, sentence(rng, 40), "en", "a") for k in (0, 1, 3) for i in fold[k][:30]]
-    rows += [(i, sentence(rng, 40) + (" qjvkzxw" * 5 if i % 2 else ""), "en", "a") for i in fold[6][:30]]
-    one, other = fold[2][:2]
-    rows += [(one, "qjvkzxw", "en", "a"), (other, "wxzkvjq", "en", "a")]
-    got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs_of(spark, rows)).where("held_out").collect()}
-    assert got[one] > got[other] + 2, got
+
+    def lead(planted):
+        rng = random.Random(8)
+        rows = [(i, sentence(rng, 40), "en", "a") for k in (0, 1, 3) for i in fold[k][:30]]
+        rows += [(i, sentence(rng, 40) + f" {planted}" * 5 * (i % 2), "en", "a") for i in fold[6][:30]]
+        rows += [(fold[2][0], "qjvkzxw", "en", "a"), (fold[2][1], "wxzkvjq", "en", "a")]
+        got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs_of(spark, rows)).where("held_out").collect()}
+        return got[fold[2][0]] - got[fold[2][1]]
+    assert lead("qjvkzxw") > lead("wxzkvjq") + 4
