@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herdcast.llm import (chat_format, html_text, importance, jaccard_join, language_id, lm_scoring, mixing, packing,
-                          quality_rules, sql, top_k)
+from herdcast.llm import (alignment, chat_format, html_text, importance, jaccard_join, language_id, lm_scoring, mixing, packing,
+                          prefix_trie, quality_rules, sql, tiered_packing, top_k)
 from herdcast.llm.common import pick, table
 
 
@@ -77,11 +77,33 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every document's byte-level and sentencepiece tokens align, and what their pairs count corpus-wide."""
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 1024, 512, 256 or 128 tokens, or a smaller power of two."""
+    return tiered_packing.pack_tiers(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_quality_classifier, op2_quality_rules, op3_html_extraction, op4_ngram_jaccard_join, op5_chat_formatting,
-        op6_best_fit_packing, op7_exact_top_k, op8_language_id, op9_mixing, op10_lm_scoring)}
+        op6_best_fit_packing, op7_exact_top_k, op8_language_id, op9_mixing, op10_lm_scoring, op11_tokenizer_alignment,
+        op12_prefix_trie, op13_tiered_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": sql.QUALITY_RULES, "op9_mixing": sql.MIXING}
+    return {"op2_quality_rules": sql.QUALITY_RULES, "op9_mixing": sql.MIXING, "op12_prefix_trie": sql.PREFIX_TRIE}

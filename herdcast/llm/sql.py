@@ -45,3 +45,29 @@ n AS (SELECT h.doc_id, h.source, h.text, count(c) AS n FROM h LEFT JOIN cdf
 e AS (SELECT doc_id, source, text, unnest(range(1, n + 1)) AS copy FROM n)
 SELECT doc_id, source, text, copy, md5('20:order:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || copy) AS order_key FROM e
 """
+
+# crc32 of the decimal digits: a list of steps, a byte or -1 for the shift by one bit
+_CRC = ("xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), "
+        "lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) "
+        "ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)")
+
+PREFIX_TRIE = rf"""
+WITH d AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, turn, sha256(length(role) || ':' || role || ':' || t) AS g, len({_WORDS}) AS words FROM d),
+p AS (SELECT conv_id, g, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, g) AS place FROM s),
+ids AS (SELECT conv_id, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM p)),
+r AS (SELECT ids.conv_id, 0 AS part, place, g, words FROM ids JOIN p ON p.conv_id = ids.conv_id - ids.conv_id % 20 AND place <= h
+      UNION ALL SELECT p.conv_id, 1, place, g, words FROM p JOIN ids ON p.conv_id = ids.conv_id WHERE place > h),
+q AS (SELECT conv_id, 0 AS depth, '' AS key, 0 AS words FROM ids
+      UNION ALL SELECT conv_id, row_number() OVER o, string_agg(g, '') OVER o, words FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY part, place)),
+n AS (SELECT key, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM q GROUP BY key),
+e AS (SELECT key, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ends
+      FROM (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM q) WHERE last GROUP BY key),
+c AS (SELECT left(key, length(key) - 64) AS key, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+b AS (SELECT a.key, sum((x.n_convs - 1) * x.words) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+      FROM n a JOIN n x ON starts_with(x.key, a.key) LEFT JOIN c ON c.key = x.key GROUP BY a.key)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(c.n, 0) AS BIGINT) AS n_children,
+       b.leaves AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM n JOIN b ON b.key = n.key LEFT JOIN c ON c.key = n.key LEFT JOIN e ON e.key = n.key
+LEFT JOIN n up ON n.depth > 0 AND up.key = left(n.key, length(n.key) - 64)
+"""
