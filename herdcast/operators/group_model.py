@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from herdcast.operators import arrow as ar
 from herdcast.operators import mixed as mx
 from herdcast.schema import HYGIENE_LEVELS, ModelSpec, Options
 from herdcast.session import materialise
@@ -52,19 +53,36 @@ def expand_terms(terms: Sequence[str], levels: dict[str, list[str]]) -> dict[str
     return out
 
 
+FARM_TERM = "factor(Farm)"
+
+
 @dataclass
 class GroupFit:
-    """Whole-data fit, and where the per-farm-year refits live."""
+    """Whole-data fit, and where the per-farm-year refits live.
+
+    ``design`` and ``fit.beta`` hold the intercept and all terms but the farms, which are kept apart as ``farms``
+    (effect relative to the reference farm; None without farms in the formula).
+    """
 
     design: dict[str, Column]
     fit: mx.Fit
-    folds: DataFrame            # Farm, Year, beta (original scale), year_effect, ...
+    folds: DataFrame            # Farm, Year, beta (original scale), farm_effect, year_effect, ...
     levels: dict[str, list[str]]
     means: dict[str, float]     # averages used by the prediction grid
+    farms: dict[str, float] | None
+    terms: Sequence[str]
+    every_farm: Callable[[], DataFrame] | None = None       # Farm, Year, term, estimate: farm terms of all refits
+
+    @property
+    def names(self) -> list[str]:
+        """All coefficients in the order of the formula."""
+        return list(expand_terms(self.terms, self.levels))
 
     @property
     def coefficients(self) -> dict[str, float]:
-        return dict(zip(self.design, self.fit.beta.tolist()))
+        known = dict(zip(self.design, self.fit.beta.tolist()))
+        known |= {f"Farm{k}": v for k, v in (self.farms or {}).items()}
+        return {n: known[n] for n in self.names}
 
 
 def _standardise(rows: DataFrame, names: Sequence[str], extra: dict[str, Column]) -> dict:
@@ -73,31 +91,20 @@ def _standardise(rows: DataFrame, names: Sequence[str], extra: dict[str, Column]
     return rows.agg(*aggs, *[c.alias(k) for k, c in extra.items()]).first().asDict()
 
 
-def _original_scale(names: Sequence[str], mean: np.ndarray, scale: np.ndarray):
-    """Column expression turning standardised coefficients into original ones (null kept)."""
-    def rescale(beta: Column) -> Column:
-        parts = [None] + [beta[j] / F.lit(float(scale[j])) for j in range(1, len(names))]
-        shift = F.lit(0.0)
-        for j in range(1, len(names)):
-            shift = shift + F.coalesce(parts[j] * F.lit(float(mean[j])), F.lit(0.0))
-        intercept = beta[0] + F.lit(float(mean[-1])) - shift
-        return F.array(intercept, *parts[1:])
-    return rescale
-
-
 def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Options = Options()
                     ) -> GroupFit:
     """REML fit of mean log counts with weights, and every farm-year exclusion refit.
 
-    ``group`` should be persisted: it is read by the level count, the scaling pass and the
-    two accumulation passes.
+    Farms are a block of any size (:mod:`arrow`): they come before the other terms where terms depend on each
+    other. ``group`` should be written: it is read by the level count, the scaling pass and the two passes of sums.
     """
     levels = {"Hygiene": [h for h in HYGIENE_LEVELS if h in level_counts(group, "Hygiene")]}
     for term in spec.terms:
         m = re.fullmatch(r"factor\((\w+)\)", term)
         if m and m.group(1) not in levels:
             levels[m.group(1)] = level_counts(group, m.group(1))
-    design = expand_terms(spec.terms, levels)
+    blocks = FARM_TERM in spec.terms
+    design = expand_terms([t for t in spec.terms if t != FARM_TERM], levels)
     names = list(design)
     rows = (group.filter(F.col("TotalFEC") >= options.min_n)
             .select("Farm", "Year", "LocationYear", F.col("TotalFEC").cast("double").alias("w"),
@@ -106,8 +113,8 @@ def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Op
             .dropna().persist())
     xs = [f"x{i}" for i in range(len(names))]
     stats = _standardise(rows, [*xs, "y"], {
-        "weight": F.sum("w"), "groups": F.count_distinct("LocationYear"),
-        "n": F.count(F.lit(1))})
+        "weight": F.sum("w"), "groups": F.count_distinct("LocationYear"), "n": F.count(F.lit(1)),
+        "years": F.array_sort(F.collect_set("Year")), "farms": F.count_distinct("Farm")})
     if not stats["n"]:
         raise ValueError(f"no location-week has {options.min_n} counts and complete covariates")
     k = len(xs)
@@ -116,35 +123,72 @@ def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Op
     mean[0], scale[0], scale[k] = 0.0, 1.0, 1.0
     z = [((F.col(c) - float(mean[i])) / float(scale[i])).alias(c) for i, c in enumerate([*xs, "y"])]
     std = rows.select("Farm", "Year", "LocationYear", "w", *z)
-    acc = mx.accumulate(std, [*xs, "y"], F.col("w"), ["LocationYear"], ["Farm", "Year"],
-                        mean_weight=stats["weight"] / stats["groups"])
-    total = mx.total_moments(acc, "Year")
-    fit = mx.fit_total(total, k, acc.nodes, spec.random_location_year, spec.random_year)
-    folds = mx.fit_excluding(acc, total, k, "Year", spec.random_location_year, spec.random_year)
-    rescale = _original_scale(names, mean, scale)
-    folds = folds.withColumn("beta", rescale(F.col("beta")))
+    # the farms' effects take the place of the intercept
+    used = [*xs[1:], "y"] if blocks else [*xs, "y"]
+    layout = ar.Layout(mx.chebyshev_nodes(stats["weight"] / stats["groups"]), tuple(stats["years"]), len(used), blocks)
+    sums = ar.pieces(std, used, F.col("w"), "LocationYear")
+    total = ar.total_sums(sums, layout)
+    options_ = spec.random_location_year, spec.random_year
+    raw = ar.Arrow(total, layout, *options_).optimum()
+    farms, anchors = None, []
+    fit = mx.Fit(raw.beta.copy(), raw.sigma2, raw.ratio_group, raw.ratio_year, raw.year_effect, raw.criterion)
+    if blocks:
+        effects = {r["Farm"]: r["effect"] for r in ar.block_effects(sums, raw, layout).collect()}
+        # the intercept is the first level's, or the last one's where the first has no usable row
+        anchors = [f for f in (levels["Farm"][0], *reversed(levels["Farm"][1:])) if f in effects][:2]
+        base = effects.pop(anchors[0])
+        farms = {f: effects[f] - base if f in effects else float("nan") for f in levels["Farm"]} | {levels["Farm"][0]: 0.0}
+        fit.beta = np.append(base, fit.beta)
+    folds = ar.fit_excluding(sums, total, raw, layout, *options_, anchors)
     slopes = fit.beta[1:] / scale[1:k]
     shift = float(np.nansum(slopes * mean[1:k]))
     fit.beta = np.append(fit.beta[0] + mean[k] - shift, slopes)
+    folds = materialise(folds, "refits")                    # on the scaled terms, as the farms' effects are made from them
+    for held in (rows, sums.stream):
+        held.unpersist()
+
+    def original(beta: Column) -> Column:
+        first = F.col("anchor_effect") if blocks else beta[0]
+        parts = [beta[j - blocks] / F.lit(float(scale[j])) for j in range(1, k)]
+        shifted = sum((F.coalesce(b * F.lit(float(m)), F.lit(0.0)) for b, m in zip(parts, mean[1:k])), F.lit(0.0))
+        return F.array(first + F.lit(float(mean[-1])) - shifted, *parts)
+
+    effect = F.when(F.col("Farm") == F.col("anchor"), F.lit(0.0)).otherwise(F.col("own_effect") - F.col("anchor_effect"))
+    known = folds.select("Farm", "Year", original(F.col("beta")).alias("beta"), (effect if blocks else F.lit(0.0)).alias("farm_effect"),
+                         "year_effect", "sigma2", "ratio_group", "ratio_year")
     weather = [c for c in group.columns if re.match(r"(Temp|RelHumid|AbsHumid)_", c)]
     # written, so that its size is known where the individual rows are joined to it
-    folds = materialise(_every_fold(group, folds, fit), "folds")
-    for held in (rows, acc.grams, acc.groups):
-        held.unpersist()
+    every = materialise(_every_fold(group, known, fit, farms), "folds")
     means = group.agg(F.avg("TotalAnimals").alias("TotalAnimals"),
                       *[F.avg(c).alias(c) for c in weather]).first().asDict()
-    return GroupFit(design, fit, folds, levels, means)
+    return GroupFit(design, fit, every, levels, means, farms, spec.terms,
+                    (lambda: ar.every_block_effect(sums, folds, layout, levels["Farm"])) if blocks else None)
 
 
-def _every_fold(group: DataFrame, folds: DataFrame, fit: mx.Fit) -> DataFrame:
+def _every_fold(group: DataFrame, folds: DataFrame, fit: mx.Fit, farms: dict[str, float] | None) -> DataFrame:
     """A fold for every farm-year of the frame: one without a usable row leaves nothing out."""
     effect = F.lit(0.0)
     for year, value in fit.year_effect.items():
         effect = F.when(F.col("Year") == F.lit(year), F.lit(value)).otherwise(effect)
+    every = group.select("Farm", "Year").where("Farm IS NOT NULL AND Year IS NOT NULL").distinct()
     whole = {"beta": F.array(*[F.lit(None if np.isnan(b) else float(b)).cast("double") for b in fit.beta]), "year_effect": effect,
              "sigma2": F.lit(float(fit.sigma2)), "ratio_group": F.lit(float(fit.ratio_group)), "ratio_year": F.lit(float(fit.ratio_year))}
-    every = group.select("Farm", "Year").where("Farm IS NOT NULL AND Year IS NOT NULL").distinct()
-    return every.join(folds, ["Farm", "Year"], "left").withColumns({k: F.coalesce(k, v) for k, v in whole.items()})
+    if farms is not None:
+        every = every.join(_farm_table(group, farms), "Farm", "left")
+        whole["farm_effect"] = F.col("_whole")
+        # a farm that a refit does not know stays without an effect of its own
+        folds = folds.withColumn("_refit", F.lit(True))
+        joined = every.join(folds, ["Farm", "Year"], "left")
+        out = joined.withColumns({c: F.coalesce(c, v) if c != "farm_effect" else F.when(F.col("_refit"), F.col(c)).otherwise(v) for c, v in whole.items()})
+        return out.drop("_whole", "_refit")
+    return every.join(folds, ["Farm", "Year"], "left").withColumns(
+        {c: F.coalesce(c, v) for c, v in (whole | {"farm_effect": F.lit(0.0)}).items()})
+
+
+def _farm_table(df: DataFrame, farms: dict[str, float]) -> DataFrame:
+    """(Farm, _whole): the farms' effects, null where there is none."""
+    rows = [(f, None if v != v else v) for f, v in farms.items()]
+    return df.sparkSession.createDataFrame(rows, "Farm string, _whole double")
 
 
 def _dot(design: dict[str, Column], coef) -> Column:
@@ -154,8 +198,11 @@ def _dot(design: dict[str, Column], coef) -> Column:
     return total
 
 
-def predict_single(g: GroupFit, year: bool = False) -> Column:
-    """Fixed effects of the whole-data fit, plus the known year's effect if asked."""
+def predict_single(df: DataFrame, g: GroupFit, name: str, year: bool = False) -> DataFrame:
+    """``name``: fixed effects of the whole-data fit, plus the known year's effect if asked.
+
+    A row of a farm, or of another level, that the fit does not know has no prediction.
+    """
     beta = np.nan_to_num(g.fit.beta)
     out = _dot(g.design, lambda i: F.lit(float(beta[i])))
     if year and g.fit.year_effect:
@@ -164,7 +211,10 @@ def predict_single(g: GroupFit, year: bool = False) -> Column:
             hit = F.col("Year") == F.lit(y)
             effect = F.when(hit, F.lit(e)) if effect is None else effect.when(hit, F.lit(e))
         out = out + effect.otherwise(F.lit(0.0))
-    return out
+    if g.farms is None:
+        return df.withColumn(name, out)
+    known = {f: 0.0 if v != v else v for f, v in g.farms.items()}
+    return df.join(_farm_table(df, known), "Farm", "left").withColumn(name, out + F.col("_whole")).drop("_whole")
 
 
 def predict_excluded(df: DataFrame, g: GroupFit, name: str, without_doses: str | None = None
@@ -175,7 +225,7 @@ def predict_excluded(df: DataFrame, g: GroupFit, name: str, without_doses: str |
     ``without_doses`` names a second prediction with the treatment terms set to zero.
     """
     folds = g.folds.select("Farm", "Year", F.col("beta").alias("_beta"),
-                           F.col("year_effect").alias("_ye"))
+                           (F.col("year_effect") + F.coalesce("farm_effect", F.lit(0.0))).alias("_ye"))
     out = df.join(folds, ["Farm", "Year"], "left")
 
     def coef(i: int) -> Column:
@@ -189,11 +239,14 @@ def predict_excluded(df: DataFrame, g: GroupFit, name: str, without_doses: str |
 
 
 def fold_coefficients(g: GroupFit) -> DataFrame:
-    """Long table of the refits: farm, year, term, estimate (null where dropped)."""
+    """Long table of the refits: farm, year, ord, term, estimate (null where dropped)."""
     pairs = F.arrays_zip(F.array(*[F.lit(n) for n in g.design]).alias("term"), "beta")
-    return (g.folds.select("Farm", "Year", F.posexplode(pairs).alias("ord", "p"))
-            .select("Farm", "Year", "ord", F.col("p.term").alias("term"),
-                    F.col("p.beta").alias("estimate")))
+    long = (g.folds.select("Farm", "Year", F.explode(pairs).alias("p"))
+            .select("Farm", "Year", F.col("p.term").alias("term"), F.col("p.beta").alias("estimate")))
+    if g.every_farm is not None:
+        long = long.unionByName(g.every_farm())
+    order = g.folds.sparkSession.createDataFrame(list(enumerate(g.names)), "ord int, term string")
+    return long.join(order, "term").select("Farm", "Year", "ord", "term", "estimate")
 
 
 def prediction_grid(g: GroupFit, dims: DataFrame, rolling: DataFrame | None) -> DataFrame:
@@ -213,8 +266,7 @@ def prediction_grid(g: GroupFit, dims: DataFrame, rolling: DataFrame | None) ->
         "MeanAge": F.lit(15.0), "TotalAnimals": F.lit(g.means["TotalAnimals"]),
         "FarmHygiene": F.concat_ws("_", "Farm", "Hygiene"),
         "sdoy": X.sdoy(F.col("Week")), "cdoy": X.cdoy(F.col("Week"))})
-    grid = predict_excluded(grid.withColumn("pred_single", predict_single(g, year=True)), g,
-                            "pred_exclusion")
+    grid = predict_excluded(predict_single(grid, g, "pred_single", year=True), g, "pred_exclusion")
     return grid.select("Farm", "Hygiene", "Year", "Week",
                        F.exp("pred_exclusion").alias("PredExclusion"),
                        F.exp("pred_single").alias("PredSingle"))

@@ -67,10 +67,13 @@ def group_terms(s: np.ndarray, w: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     return out
 
 
-def independent_columns(gram: np.ndarray, tol: float = 1e-10) -> list[int]:
-    """Columns kept, first come first kept, when linearly dependent ones are left out."""
+def independent_columns(gram: np.ndarray, tol: float = 1e-10, scale: np.ndarray | None = None) -> list[int]:
+    """Columns kept, first come first kept, when linearly dependent ones are left out.
+
+    ``scale`` is the diagonal that remainders are compared with, if ``gram`` has been reduced already.
+    """
     a = gram.astype(float).copy()
-    scale = np.diag(gram).copy()
+    scale = np.diag(gram).copy() if scale is None else scale
     keep = []
     for j in range(len(a)):
         if scale[j] > 0 and a[j, j] > tol * scale[j]:
@@ -202,7 +205,7 @@ def _key(values) -> tuple:
     return tuple(values) if isinstance(values, tuple) else (values,)
 
 
-def _gram_partials(cols: Sequence[str], fold: Sequence[str]):
+def gram_partials(cols: Sequence[str], fold: Sequence[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[tuple, np.ndarray] = {}
         q = len(cols)
@@ -294,7 +297,7 @@ def accumulate(rows: DataFrame, cols: Sequence[str], weight: Column, group: Sequ
     rows = rows.withColumn("_w", weight)
     at = rows.repartition(*fold, F.pmod(F.xxhash64(*group), F.lit(fold_salts))) if fold else rows
     grams = at.select(*fold, "_w", *cols).mapInPandas(
-        _gram_partials(cols, fold), _schema(rows, fold))
+        gram_partials(cols, fold), _schema(rows, fold))
     per_group = rows.groupBy(*dict.fromkeys([*fold, *group])).agg(
         F.sum("_w").alias("_w"), *[F.sum(F.col(c) * F.col("_w")).alias(c) for c in cols])
     per_group = per_group.select(*fold, "_w", *cols)

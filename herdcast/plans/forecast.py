@@ -106,7 +106,7 @@ def predicted_state(features: DataFrame, group: GroupFit, rolling: DataFrame,
         f"DoseProp{k}": F.when(future, F.lit(0.0)).otherwise(F.col(f"DoseProp{k}"))
         for k in (4, 8, 12)})
     state = state.join(rolling, ["Year", "Week"])
-    state = state.withColumn("Prediction", predict_single(group))
+    state = predict_single(state, group, "Prediction")
     residual = F.when(~future & (F.col("Observed") >= 5),
                       F.col("Prediction") - F.col("ObservedMean"))
     return state.select("Farm", "Location", "Hygiene", "Year", "Week", "Kind", "Prediction",

@@ -150,9 +150,8 @@ def location_year_effects(group_data: DataFrame, m: FittedModels) -> DataFrame:
     from herdcast.operators.group_model import predict_single
     t = m.group.fit.ratio_group
     w = F.col("TotalFEC").cast("double")
-    rows = (group_data.filter(F.col("TotalFEC") >= m.options.min_n)
-            .withColumn("e", F.col("meanLogFEC") - predict_single(m.group, year=True))
-            .filter(F.col("e").isNotNull()))
+    rows = (predict_single(group_data.filter(F.col("TotalFEC") >= m.options.min_n), m.group, "_fixed", year=True)
+            .withColumn("e", F.col("meanLogFEC") - F.col("_fixed")).filter(F.col("e").isNotNull()))
     per = rows.groupBy("Location", "Year").agg(F.sum(w).alias("W"), F.sum(w * F.col("e")).alias("s"))
     per = per.withColumn("Estimate", F.bround(F.col("s") * t / (F.lit(1.0) + F.col("W") * t), 2))
     span = group_data.agg(F.min("Year"), F.max("Year")).first()
