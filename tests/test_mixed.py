@@ -328,21 +328,36 @@ def test_any_number_of_farms(spark, terms):
     assert g.folds.count() == 2 * farms
 
 
+def test_forty_farms_match_dense(spark):
+    pdf = frame(seed=9, farms=40, locs=1, years=2, weeks=5)
+    df = spark.createDataFrame(pdf).withColumns({"Hygiene": F.lit("None"), "TotalAnimals": F.lit(9)})
+    g = gm.fit_group_model(df, SPEC, Options())
+    assert g.names[0] == "(Intercept)" and len(g.names) == 43
+    used = pdf[pdf["TotalFEC"] >= 10]
+    X = np.column_stack([np.ones(len(used)), *[used["Farm"] == f for f in g.levels["Farm"][1:]], used["a"], used["b"], used["b"] ** 2 / 10]).astype(float)
+    args = [used[c].to_numpy() for c in ("meanLogFEC", "TotalFEC", "LocationYear", "Year")]
+    _, want, s2, _ = dense(X, *args, g.fit.ratio_group, g.fit.ratio_year)
+    np.testing.assert_allclose(list(g.coefficients.values()), want, rtol=1e-6, atol=1e-8)
+    assert g.fit.sigma2 == pytest.approx(s2, rel=1e-6)
+
+
 def test_two_thousand_farms_take_little_memory(spark):
-    """What reaches the driver depends on years and terms only; the effects are those of least squares by farm."""
+    """What reaches the driver, and what a task holds beside its farm, depends on years and terms only."""
     from herdcast.operators import arrow as ar
-    from herdcast.operators.group_model import fit_group_model
-    pdf = _herd(2000, np.random.default_rng(4))
-    g = fit_group_model(spark.createDataFrame(pdf).repartition(8), ModelSpec(terms=("factor(Farm)", "a")))
-    assert len(g.farms) == 2000 and g.folds.count() == 4000
+
+    def noise(salt):
+        return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(10007)) / 10007.0 - 0.5
+    herd = (spark.range(2000 * 12).withColumns({"Farm": F.concat(F.lit("F"), (F.col("id") / 12).cast("int")), "k": F.col("id") % 12})
+            .withColumns({"Year": (2001 + F.col("k") % 2).cast("int"), "a": noise(1), "Hygiene": F.lit("None"), "TotalAnimals": F.lit(20.0), "TotalFEC": F.lit(15)})
+            .withColumn("LocationYear", F.concat_ws("_", "Farm", (F.col("k") % 4).cast("string"), "Year"))
+            .withColumn("meanLogFEC", 0.5 * F.col("a") + F.pmod(F.hash("Farm"), F.lit(7)) * 0.1 + 0.2 * noise(2)))
+    g = gm.fit_group_model(herd, ModelSpec(terms=("factor(Farm)", "a")))
+    assert len(g.farms) == 2000 and g.folds.where("farm_effect IS NOT NULL").count() == 4000
     assert ar.Sums.zero(97, 2 + 2).z.nbytes < 20_000
-    centred = pdf[["Farm", "a", "meanLogFEC"]].copy()
-    effects = {f: v.mean() for f, v in (pdf["meanLogFEC"] - g.coefficients["a"] * pdf["a"]).groupby(pdf["Farm"])}
-    got = {f: v + g.coefficients["(Intercept)"] for f, v in g.farms.items()}
-    # balanced data: the farm's effect is the plain mean of what the slope leaves, whatever the ratios, but for the years
-    assert np.corrcoef([got[f] for f in effects], list(effects.values()))[0, 1] > 0.999
-    within = centred.groupby("Farm")[["a", "meanLogFEC"]].transform(lambda x: x - x.mean())
-    assert g.coefficients["a"] == pytest.approx((within["a"] * within["meanLogFEC"]).sum() / (within["a"] ** 2).sum(), abs=0.01)
+    assert abs(g.coefficients["a"] - 0.5) < 0.01
+    left = herd.groupBy("Farm").agg(F.avg(F.col("meanLogFEC") - g.coefficients["a"] * F.col("a")).alias("m")).collect()
+    got = [g.farms[r.Farm] for r in left]
+    assert np.corrcoef(got, [r.m for r in left])[0, 1] > 0.999
 
 
 def test_every_farm_year_has_a_fold_and_unseen_farms_have_no_prediction(spark):
