@@ -215,21 +215,104 @@ def impute_linear(daily: DataFrame, by: Sequence[str] = (),
     return rows.join(ends, keys).withColumns(filled).select(*daily.columns)
 
 
-def impute_gaps(daily: DataFrame, by: Sequence[str] = (),
-                measures: Sequence[str] = WEATHER_MEASURES) -> DataFrame:
-    """Fill gaps by smoothing each series with a local-level state-space model.
-
-    A group is one measure of one site with one row per calendar day (``calendar_fill``),
-    so its length is bounded by the calendar, not by the volume of readings.
+def impute_gaps(daily: DataFrame, by: Sequence[str] = (), measures: Sequence[str] = WEATHER_MEASURES, block_days: int = 1456,
+                variances: tuple[float, float, float] | None = None) -> DataFrame:
+    """Fill gaps by the smoothed level of a level-and-slope model of each measure of each series.
+
+    ``daily`` has one row per calendar day (``calendar_fill``). The variances (noise, level, slope) are of maximum likelihood, by
+    series and measure, or the given ones for all. The axis is cut into blocks; a task has one block of one series, and what
+    blocks say about each other is composed from a few numbers a block (:mod:`smoothing`), so that no task holds a whole series
+    and the blocks change no result. A measure without any reading stays null.
     """
-    from pyspark.sql import types as T
-
-    from herdcast.operators.smoothing import smooth_series
-    keys = [*by, "Variable"]
-    long = daily.unpivot([*by, "Date"], list(measures), "Variable", "Value")
-    schema = T.StructType([long.schema[c] for c in [*by, "Date", "Variable", "Value"]])
-    smooth = (long.select(*by, "Date", "Variable", "Value")
-              .groupBy(*keys).applyInPandas(smooth_series, schema))
-    wide = smooth.groupBy(*by, "Date").pivot("Variable", list(measures)).agg(F.first("Value"))
-    rest = [c for c in daily.columns if c not in measures and c not in (*by, "Date")]
-    return wide.join(daily.select(*by, "Date", *rest), [*by, "Date"]).select(*daily.columns)
+    import numpy as np
+    import pandas as pd
+
+    from herdcast.operators import smoothing as S
+    from herdcast.session import materialise
+    measures, by, k = list(measures), list(by), len(measures)
+    rows = daily.withColumn("_pos", cal.day_number(F.col("Date"))).withColumn(B.BLOCK, F.floor(F.col("_pos") / block_days).cast("long"))
+    held = materialise(rows.select(*by, "Date", "_pos", B.BLOCK, *[F.col(m).cast("double").alias(m) for m in measures]), "days")
+    mean = F.array(*[F.coalesce(F.avg(m), F.lit(0.0)) for m in measures]).alias("_mean")
+    series = held.groupBy(*by).agg(mean) if by else held.agg(mean)
+    kinds = {f.name: f.dataType.simpleString() for f in held.schema}
+    keys = ", ".join(f"`{c}` {kinds[c]}" for c in by)
+    keys_comma = keys + ", " if keys else ""
+
+    def with_series(df: DataFrame, own: DataFrame) -> DataFrame:
+        return df.join(own, by) if by else df.crossJoin(own)      # without keys there is one series: one row
+
+    def readings(pdf: pd.DataFrame) -> np.ndarray:
+        pdf = pdf.sort_values("_pos")
+        return pdf[measures].to_numpy(dtype="float64") - np.asarray(pdf["_mean"].iloc[0], dtype="float64")
+
+    def tried(pdf: pd.DataFrame, round_: int) -> np.ndarray:
+        """measures x candidates x (q1, q2)"""
+        if variances is not None:
+            return np.tile(np.log(np.maximum(np.array(variances[1:]) / variances[0], 1e-300)), (k, 1, 1))
+        if round_ == 0:
+            return np.tile(S.candidates(None, 0), (k, 1, 1))
+        best = np.asarray(pdf["_best"].iloc[0], dtype="float64").reshape(k, 2)
+        return best[:, None] if round_ == S.ROUNDS else np.stack([S.candidates(b, round_) for b in best])
+
+    def scales(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        r = variances[0] if variances is not None else 1.0
+        q = np.exp(logs.reshape(-1, 2)) * r
+        return np.full(len(q), r), np.where(q < 1e-200, 0.0, q)
+
+    def elements(round_: int):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            logs = tried(pdf, round_)
+            y = np.repeat(readings(pdf), logs.shape[1], axis=1)
+            out = pdf[[*by, B.BLOCK, *(["_best"] if round_ else [])]].iloc[:1].copy()
+            out["blob"] = [S.filter_block(y, *scales(logs)).pack().tobytes()]
+            return out
+        extra = ", `_best` array<double>" if round_ else ""
+        return with_series(held, series).groupBy(*by, B.BLOCK).applyInPandas(run, f"{keys_comma}`{B.BLOCK}` long{extra}, blob binary")
+
+    def scanned(pdf: pd.DataFrame) -> list[S.Element]:
+        return [S.Element.unpack(np.frombuffer(b).reshape(-1, S.SIZE)) for b in pdf.sort_values(B.BLOCK)["blob"]]
+
+    def best_of(round_: int):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            logs = tried(pdf, round_)
+            value = S.profile(scanned(pdf)).reshape(k, -1)
+            out = pdf[by].iloc[:1].copy()
+            out["_best"] = [logs[np.arange(k), value.argmin(1)].ravel().tolist()]
+            return out
+        found = elements(round_).groupBy(*by).applyInPandas(run, f"{keys_comma}`_best` array<double>")
+        return materialise(found, "variances")
+
+    last = S.ROUNDS
+    if variances is None:
+        for round_ in range(S.ROUNDS):
+            own = best_of(round_)
+            series = with_series(series.drop("_best"), own)
+
+    def ends(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(B.BLOCK)
+        out = pdf[[*by, B.BLOCK]].copy()
+        out["_ends"] = [e.tobytes() for e in S.ends(scanned(pdf))]
+        return out
+
+    if variances is not None:
+        series = series.withColumn("_best", F.lit(None).cast("array<double>"))
+    states = elements(last).groupBy(*by).applyInPandas(ends, f"{keys_comma}`{B.BLOCK}` long, _ends binary")
+
+    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_pos")
+        filled = S.smooth_block(readings(pdf), *scales(tried(pdf, last)), np.frombuffer(pdf["_ends"].iloc[0]).reshape(k, -1))
+        known = np.asarray(pdf["_known"].iloc[0], dtype=bool)
+        out = pdf[[*by, "Date"]].copy()
+        for i, m in enumerate(measures):
+            own = pdf[m].to_numpy(dtype="float64")
+            out[m] = np.where(np.isnan(own), filled[:, i] + pdf["_mean"].iloc[0][i] if known[i] else np.nan, own)
+        return out
+
+    seen = F.array(*[F.count(m) > 0 for m in measures]).alias("_known")
+    series = with_series(series, held.groupBy(*by).agg(seen) if by else held.agg(seen))
+    blocks = with_series(held, series).join(states, [*by, B.BLOCK])
+    types = ", ".join(f"`{m}` double" for m in measures)
+    filled = blocks.groupBy(*by, B.BLOCK).applyInPandas(smooth, f"{keys_comma}Date date, {types}")
+    filled = filled.withColumns({m: F.nanvl(m, F.lit(None).cast("double")) for m in measures})
+    rest = [c for c in daily.columns if c not in (*measures, *by, "Date")]
+    return (filled.join(daily.select(*by, "Date", *rest), [*by, "Date"]) if rest else filled).select(*daily.columns)

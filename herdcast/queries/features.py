@@ -65,6 +65,19 @@ def impute_gaps(spark, d):
     return round_doubles(wx.impute_gaps(wx.calendar_fill(fx.site_days(spark, d).select("Site", "Date", *_M), ("Site",)), ("Site",)))
 
 
+# without noise and trend variance the smoothed level is the bridge between the neighbours, a straight line
+@query("impute_gaps_bridge", f"""
+SELECT Site, Date, {s6('coalesce(v, lo.v + (hi.v - lo.v) * (Date - lo.d) / nullif(hi.d - lo.d, 0), lo.v, hi.v)')} AS Temp_avg
+FROM (SELECT Site, Date, v,
+    last_value(p IGNORE NULLS) OVER (PARTITION BY Site ORDER BY Date ROWS UNBOUNDED PRECEDING) AS lo,
+    first_value(p IGNORE NULLS) OVER (PARTITION BY Site ORDER BY Date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hi
+  FROM (SELECT c.Site, c.Date, w.Temp_avg AS v, CASE WHEN w.Temp_avg IS NOT NULL THEN {{'d': c.Date, 'v': w.Temp_avg}} END AS p
+        FROM site_calendar c LEFT JOIN site_days w ON c.Site = w.Site AND c.Date = w.Date))""", ["site_calendar"])
+def impute_gaps_bridge(spark, d):
+    daily = wx.calendar_fill(fx.site_days(spark, d).select("Site", "Date", "Temp_avg"), ("Site",))
+    return round_doubles(wx.impute_gaps(daily, ("Site",), ("Temp_avg",), block_days=365, variances=(1e-10, 1.0, 0.0)))
+
+
 @query("impute_linear", f"""
 SELECT Site, Date, {s6('''coalesce(v, lo.v + (hi.v - lo.v) * (Date - lo.d) / nullif(hi.d - lo.d, 0),
   lo.v, hi.v)''')} AS Temp_avg
