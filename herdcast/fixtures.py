@@ -170,14 +170,14 @@ def wide_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
                     *[f"{k}{w}" for w in WEEKS for k in ("F", "T")]))
 
 
-def hourly_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per day with an array of readings in Kelvin.
+def hourly_readings(spark: SparkSession, sf_dir: str, unit: str = "day") -> DataFrame:
+    """One row per day (or first day of a longer unit) with an array of readings in Kelvin.
 
     The day's rows are first averaged per line number (1..7), so an array never holds more
     than seven readings however many rows a day has.
     """
     slots = (table(spark, sf_dir, "lineitem")
-             .groupBy(ship_date().alias("date"), "l_linenumber")
+             .groupBy(F.trunc(ship_date(), unit).alias("date") if unit != "day" else ship_date().alias("date"), "l_linenumber")
              .agg(F.avg("l_quantity").alias("q")))
     temp = F.col("q") / 2 + 265
     reading = F.struct(temp.alias("temp"), F.lit(0.0).alias("humidity"),

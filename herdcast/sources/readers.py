@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -146,6 +146,23 @@ def load_weather(raw: DataFrame, stored: DataFrame | None = None,
     return append_checked(stored, rows, ("Date",), "date")
 
 
-def read_hourly(spark: SparkSession, path: str) -> DataFrame:
-    """Daily JSON files of hourly readings, with the declared schema."""
-    return spark.read.schema(HOURLY).json(path)
+def _day_of(path: Column) -> Column:
+    """The last date in a path, of its name (``2020/2020-01-05.json``) or of a folder."""
+    return F.regexp_extract(path, r"^.*(?<![0-9])([0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9])", 1).try_cast("date")
+
+
+def hourly_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(date, path) of the files in a folder; none of them is opened."""
+    return spark.read.format("binaryFile").load(folder).select(_day_of(F.col("path")).alias("date"), "path")
+
+
+def read_hourly(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(date, hourly, broken) of files of hourly readings, one JSON document a day, dated by their path.
+
+    A file that is no JSON, or without an array of readings, is a row without readings; ``broken`` is its content.
+    """
+    fields = T.StructType([HOURLY["hourly"], T.StructField("broken", T.StringType())])
+    return (spark.read.schema(fields).option("multiLine", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "broken").json(path if isinstance(path, str) else list(path))
+            .select(_day_of(F.col("_metadata.file_path")).alias("date"), "hourly",
+                    F.when(F.col("hourly").isNull(), F.col("broken")).alias("broken")))
