@@ -181,7 +181,8 @@ def listed(blocks: list[Block]) -> bool:
 
 
 def first_pass(block: Block, by_stops: bool = True) -> bool | None:
-    """Text, no text, or None where it is too short to tell, or long, of few stop words, and in an article."""
+    """Text, no text, or None where it is too short to tell, or of few stop words in an article: there only links and names
+    speak against a block."""
     if block.beside:
         return False
     size = len(block.text)
@@ -195,7 +196,7 @@ def first_pass(block: Block, by_stops: bool = True) -> bool | None:
     stops = _stops(words) / len(words)
     if stops >= MANY_STOPS or (size > LONG and stops >= FEW_STOPS):
         return True
-    return None if stops >= FEW_STOPS or (block.main and size > LONG) else False
+    return None if stops >= FEW_STOPS or block.main else False
 
 
 def labels_of(blocks: list[Block]) -> list[bool]:

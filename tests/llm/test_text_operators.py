@@ -56,6 +56,14 @@ def test_given_pages_without_their_article_tags(spark):
     assert kept > 0.9 * total
 
 
+def test_given_pages_lose_no_article_text(spark):
+    """After the heading every given page's text is a document, all of it."""
+    texts = {"\n".join(x for x in (" ".join(p.split()) for p in (r.text or "").split("\n")) if x)
+             for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").select("text").collect()}
+    pages = spark.read.parquet(f"{MEDIUM}/pages.parquet").collect()
+    assert sum(html_text.main_text(r.html).split("\n", 1)[-1] in texts for r in pages) == len(pages) == 250
+
+
 def test_pages_in_a_language_without_list():
     long = "Kissa istui talon katolla ja katseli hiljaista katua, jolla kukaan ei kulkenut enää illalla. " * 4
     assert html_text.main_text(f"<body><p><a href=a>Etusivu</a></p><p>{long}</p><p>Lyhyt.</p><p>{long}</p></body>").count("Kissa") == 8
