@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,20 +78,34 @@ def validate_sheet(sheet: DataFrame, options: Options = Options()) -> None:
     C.require(C.unique_key(sheet, ("Farm", "Year", "Name", "Tag")), "duplicated Name/Tag")
 
 
+def _note_unknown_locations(sheet: DataFrame, locations: DataFrame) -> None:
+    """Animals in fields that no location is known for stay, without location; a warning tells them. Only a load of which
+    no row would have a location is refused."""
+    unknown = C.unknown_location(sheet, locations).agg(
+        F.count(F.lit(1)).alias("fields"), F.sum("n").alias("rows"), F.min_by(F.struct("Farm", "Year", "Field"), F.struct("Farm", "Year", "Field")).alias("one")).first()
+    if not unknown["fields"]:
+        return
+    known = sheet.withColumn("Location", X.make_key(F.col("Farm"), F.col("Location"))).join(locations, ["Farm", "Year", "Location"], "left_semi")
+    if known.isEmpty():
+        raise C.CheckFailed(f"unknown location in every row, such as {unknown['one'].asDict()}")
+    warnings.warn(f"{unknown['rows']} rows of {unknown['fields']} fields have no known location, such as {unknown['one'].asDict()}", stacklevel=3)
+
+
 def load_dosing_sheets(sheet: DataFrame, locations: DataFrame, header: DataFrame | None = None,
                        options: Options = Options(), validate: bool = True,
                        stored: tuple[DataFrame, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Animal rows and weekly facts of all farm-year sheets at once, appended to the ``stored`` ones if given.
 
     ``sheet`` holds Farm, Year, the leading columns and F/T week columns as text; ``header``
-    the row of dates of each sheet (omit it when the columns are calendar weeks already).
+    the row of dates of each sheet (omit it when the columns are calendar weeks already). Rows in an unknown field keep
+    their facts, with a null location.
     """
     sheet = sheet.filter(F.col("Name").isNotNull() | F.col("Tag").isNotNull())
     if validate:
         validate_sheet(sheet, options)
         long = conform.unpivot_weeks(sheet, ("Farm", "Year", "Name"))
         C.require(C.text_in_count(long, options.drug_codes), "treatment in a count column")
-        C.require(C.unknown_location(sheet, locations), "unknown location")
+        _note_unknown_locations(sheet, locations)
         if header is not None:
             C.require(C.missing_dates(sheet, header), "sheet without dates")
     animals = conform.conform_animals(sheet, locations, options)

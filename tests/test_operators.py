@@ -127,6 +127,17 @@ def test_bad_sheets_are_refused(spark, tables, change, text):
         readers.load_dosing_sheets(sheet(spark, **change), tables["Locations"])
 
 
+def test_rows_in_unknown_fields_stay_without_location(spark, tables):
+    """One animal of two is in a field nobody declared: it is noted and kept; only if all are, the load stops."""
+    with pytest.warns(UserWarning, match="1 rows of 1 fields"):
+        animals, facts = readers.load_dosing_sheets(sheet(spark).where("Name = 'Al'").unionByName(
+            sheet(spark, Location="Back Field").where("Name <> 'Al'")), tables["Locations"])
+    assert {(r.AnimalID, r.Location, r.Field) for r in animals.collect()} == {("North_Al", "North_Field0", "Field 0"), ("North_Bo", None, "Back Field")}
+    assert {r.Location for r in facts.where("AnimalID = 'North_Bo'").collect()} == {None}
+    with pytest.raises(C.CheckFailed, match="every row"):
+        readers.load_dosing_sheets(sheet(spark).withColumn("Location", F.lit("Back Field")), tables["Locations"])
+
+
 def test_locations_and_weather_loads(spark, tables):
     raw = spark.createDataFrame([("A", "North Field", "None", "50")], "Farm string, Location string, Hygiene string, Sensitivity string")
     loc = readers.conform_locations(raw, 2001)
