@@ -93,7 +93,7 @@ def training_rows(rows: DataFrame, spec: ModelSpec) -> DataFrame:
 
 def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Options = Options(),
                years: Sequence[int] | None = None, validate: bool = True, as_of_year: int | None = None,
-               n_years: int = 10) -> FittedModels:
+               n_years: int = 11) -> FittedModels:
     """The whole chain, of the given ``years`` or of the ``n_years`` up to ``as_of_year``.
 
     Frames that several passes read (facts, location-weeks, individual rows) are written once
