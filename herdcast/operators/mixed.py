@@ -332,53 +332,3 @@ def total_moments(acc: Accumulated, year: str | None = None) -> Moments:
     return Moments(sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts),
                    sum(p[3] for p in parts), np.stack([p[4] for p in parts]),
                    np.stack([p[5] for p in parts]), names)
-
-
-def without(total: Moments, part: tuple, year) -> Moments:
-    """The sums once one fold, all in ``year``, is left out."""
-    gram, n, log_w, corrections, by, flat = part
-    i = total.year_names.index(year)
-    by_year, flat_year = total.by_year.copy(), total.flat_by_year.copy()
-    by_year[i] -= by
-    flat_year[i] -= flat
-    flat_year[i][-1] = max(flat_year[i][-1], 0.0)
-    if flat_year[i][-1] < 1e-9 * max(flat[-1], 1e-300):
-        by_year[i] = 0.0
-        flat_year[i] = 0.0
-    return Moments(total.gram - gram, total.n - n, total.log_w - log_w, total.terms - corrections,
-                   by_year, flat_year, total.year_names)
-
-
-def fit_total(total: Moments, p: int, nodes: np.ndarray, use_group: bool, use_year: bool) -> Fit:
-    return Problem(total, p, nodes, use_group, use_year).optimum()
-
-
-def fit_excluding(acc: Accumulated, total: Moments, p: int, year: str, use_group: bool,
-                  use_year: bool) -> DataFrame:
-    """One refit per fold with that fold left out; the folds are solved in parallel.
-
-    A solver task holds one fold's matrix and its few groups.
-
-    Gives per fold the coefficients in the order of ``acc.cols`` (null where a term had to be
-    dropped), the ratios, and the fold's own year effect if other folds still inform it.
-    """
-    q, nodes, fold, cols = len(acc.cols), acc.nodes, acc.fold, acc.cols
-    kinds = dict(acc.grams.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in fold] + [
-        "beta array<double>", "year_effect double", "sigma2 double", "ratio_group double",
-        "ratio_year double"])
-
-    names = [*fold, "beta", "year_effect", "sigma2", "ratio_group", "ratio_year"]
-
-    def run(gram: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
-        if gram.empty or groups.empty:
-            return pd.DataFrame(columns=names)
-        r = gram.iloc[0]
-        s, w = groups[cols].to_numpy(dtype="float64"), groups["_w"].to_numpy(dtype="float64")
-        terms = np.append(group_terms(s, w, nodes).ravel(), np.append(s.sum(axis=0), w.sum()))
-        rest = without(total, _unpack(np.frombuffer(r["blob"]), terms, q, len(nodes)), r[year])
-        f = Problem(rest, p, nodes, use_group, use_year).optimum()
-        beta = [None if np.isnan(b) else float(b) for b in f.beta]
-        return pd.DataFrame([[*[r[c] for c in fold], beta, f.year_effect.get(r[year], 0.0),
-                              f.sigma2, f.ratio_group, f.ratio_year]], columns=names)
-    return acc.grams.groupBy(*fold).cogroup(acc.groups.groupBy(*fold)).applyInPandas(run, schema)
