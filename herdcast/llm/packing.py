@@ -143,35 +143,41 @@ class Encoder:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn_parts(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 100):
-            some = parts[at:at + 100]
-            data = self._encode([" ".join(some)])[0]
+        some = [parts[at:at + 100] for at in range(0, len(parts), 100)]
+        for own, data in zip(some, self._encode(list(map(" ".join, some))), strict=True):
             ends = (np.flatnonzero(self.ends[np.frombuffer(data, np.uint32)]) + 1) * 4
-            if len(ends) == len(some) and ends[-1] == len(data):
-                self.parts.update((p, data[i:j]) for p, i, j in zip(some, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
+            if len(ends) == len(own) and ends[-1] == len(data):
+                self.parts.update((p, data[i:j]) for p, i, j in zip(own, [0, *ends[:-1].tolist()], ends.tolist(), strict=True))
             else:
-                self.parts.update(zip(some, self._encode(some), strict=True))
+                self.parts.update(zip(own, self._encode(own), strict=True))
 
-    def ids(self, words: list[str]) -> bytes:
-        if len(self.words) > self.most:
-            self.words.clear()
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        new = set(words).difference(self.words)
-        if not new:
-            return b"".join(map(self.words.__getitem__, words))
+    def _learn(self, new: set[str]) -> None:
+        whole = {w: w.lower() for w in new if w.isascii() and w.isalpha()}      # a part by itself
         cuts, odd = {}, []
-        for w in new:
+        for w in new.difference(whole):
             if self.plain.fullmatch(w) and ("<|" not in w or not any(x in w for x in self.specials)):
                 cuts[w] = self.cut.findall(w.lower())
             else:
                 odd.append(w)
-        self._learn_parts(list({p for own in cuts.values() for p in own}.difference(self.parts)))
+        self._learn_parts(list(set(whole.values()).union(*cuts.values()).difference(self.parts)))
         part = self.parts.__getitem__
+        self.words.update(zip(whole, map(part, whole.values()), strict=True))
         for w, own in cuts.items():
             self.words[w] = part(own[0]) if len(own) == 1 else b"".join(map(part, own))
-        self.words.update(zip(odd, self._encode(odd), strict=True))
-        return b"".join(map(self.words.__getitem__, words))
+        if odd:
+            self.words.update(zip(odd, self._encode(odd), strict=True))
+
+    def ids(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of each text, given as its words; what is new in any of them is encoded together."""
+        if len(self.words) > self.most:
+            self.words.clear()
+        if len(self.parts) > self.most:
+            self.parts.clear()
+        new = set().union(*texts).difference(self.words)
+        if new:
+            self._learn(new)
+        word = self.words.__getitem__
+        return [b"".join(map(word, words)) for words in texts]
 
 
 def blank_words(text: str) -> list[str]:
@@ -181,6 +187,19 @@ def blank_words(text: str) -> list[str]:
     return text.split()
 
 
+def encoded(encoder: Encoder, texts: list[str | None], chars: int = 1 << 20) -> Iterator[bytes]:
+    """The ids of each text; texts are taken together until they hold ``chars`` characters."""
+    held: list[list[str]] = []
+    size = 0
+    for text in texts:
+        held.append(blank_words(text or ""))
+        size += len(text or "")
+        if size >= chars:
+            yield from encoder.ids(held)
+            held, size = [], 0
+    yield from encoder.ids(held)
+
+
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32) of every document's ids and the end id."""
     with open(tokenizer, encoding="utf-8") as f:
@@ -191,8 +210,8 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> Da
         encoder, end = Encoder(rules), np.uint32(end_id).tobytes()
         for ids, texts in columns_of(batches, ("doc_id", "text")):
             rows: list[tuple] = []
-            for doc, text in zip(ids, texts, strict=True):
-                data = encoder.ids(blank_words(text or "")) + end
+            for doc, data in zip(ids, encoded(encoder, texts), strict=True):
+                data += end
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     own = data[at:at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(own) // 4, zlib.crc32(own)))
