@@ -6,6 +6,7 @@ the work stays distributed; ``require`` turns the first violation into an error.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,6 +107,16 @@ def text_in_count(long: DataFrame, drugs: Iterable[str]) -> DataFrame:
     return long.filter(F.col("Observation").rlike(r"^F\d") & X.contains_drug(F.col("Value"), drugs))
 
 
+def drugs_in_counts(sheet: DataFrame, drugs: Iterable[str]) -> DataFrame:
+    """Sheet rows with a drug name in a count column; the cells are looked at inside their row."""
+    counts = [c for c in sheet.columns if re.match(r"^F\d", c)]
+    if not counts:
+        return sheet.limit(0).select("Farm", "Year", "Name")
+    drugs = list(drugs)
+    cells = F.filter(F.array(*[F.col(c) for c in counts]), lambda v: X.contains_drug(v, drugs))
+    return sheet.select("Farm", "Year", "Name", cells.alias("Value")).filter(F.size("Value") > 0)
+
+
 def one_obs_per_week(parsed: DataFrame) -> DataFrame:
     """Animal-weeks with more than one number, treatment or treatment text."""
     return (parsed.groupBy("AnimalID", "Year", "Week")

@@ -118,14 +118,73 @@ def last_dose_weeks(fec: DataFrame, entity: Sequence[str] = ("AnimalID", "Year")
         "LastDose", F.coalesce((day - last).cast("double") / 7, F.lit(X.INF)))
 
 
-def conform_facts(sheet: DataFrame, locations: DataFrame, header: DataFrame | None = None
+def sheet_cells(columns: Sequence[str]) -> Column:
+    """The week cells of a sheet row as one array of (Sheet, FEC, Dose, DoseText), blank weeks included.
+
+    ``Sheet`` is the week in the column's name. Several columns of one week are folded: the largest count, any
+    treatment, the first of its texts.
+    """
+    by_week: dict[int, dict[str, list[str]]] = {}
+    for c in week_columns(columns):
+        by_week.setdefault(int(re.match(r"^[FT](\d+)", c).group(1)), {"F": [], "T": []})[c[0]].append(c)
+
+    def folded(values: list[Column], fold, kind: str) -> Column:
+        return fold(*values) if len(values) > 1 else values[0] if values else F.lit(None).cast(kind)
+    cells = []
+    for week, own in sorted(by_week.items()):
+        text = folded([F.when(F.col(c) != "", F.col(c)) for c in own["T"]], F.least, "string")
+        count = folded([X.parse_number(F.col(c)) for c in own["F"]], F.greatest, "double")
+        cells.append(F.struct(F.lit(week).alias("Sheet"), count.alias("FEC"), text.isNotNull().alias("Dose"), text.alias("DoseText")))
+    return F.array(*cells) if cells else F.array().cast("array<struct<Sheet:int,FEC:double,Dose:boolean,DoseText:string>>")
+
+
+def several_columns_a_week(columns: Sequence[str]) -> bool:
+    kinds = [re.match(r"^([FT]\d+)", c).group(1) for c in week_columns(columns)]
+    return len(set(kinds)) < len(kinds)
+
+
+def repeated_animals(sheet: DataFrame) -> bool:
+    """Whether an animal has more than one row in a year's sheet; reads its key only."""
+    keys = sheet.groupBy(X.make_key(F.col("Farm"), F.col("Name")).alias("AnimalID"), "Year").agg(F.count(F.lit(1)).alias("n"))
+    return not keys.filter("n > 1").isEmpty()
+
+
+def _facts_by_row(keyed: DataFrame, offset: Column) -> DataFrame:
+    """Facts of sheet rows that hold an animal's whole year each: folded and scanned inside the row, no shuffle."""
+    rows = keyed.select("AnimalID", "Location", "Year", "Sensitivity", offset.alias("Offset"), sheet_cells(keyed.columns).alias("cells"))
+    kept = F.filter("cells", lambda c: c["FEC"].isNotNull() | c["Dose"])
+
+    def dated(c: Column, row: Column) -> Column:
+        week = c["Sheet"] - row["Offset"]
+        return F.struct(week.alias("Week"), c["FEC"].alias("FEC"), (c["FEC"] / row["Sensitivity"]).alias("Count"), c["Dose"].alias("Dose"),
+                        c["DoseText"].alias("DoseText"), F.date_add(row["First"], ((week - 1) * 7).cast("int")).alias("Monday"))
+
+    def since(c: Column, dosed: Column) -> Column:
+        last = F.array_max(F.filter(dosed, lambda d: d < c["Monday"]))
+        return F.coalesce(F.date_diff(c["Monday"], last).cast("double") / 7, F.lit(X.INF))
+
+    # what belongs to the row is bound to a name once; written inside the lambda it would be worked out for every cell
+    row = F.struct("Offset", "Sensitivity", cal.first_monday(F.col("Year")).alias("First"))
+    cells = F.flatten(F.transform(F.array(row), lambda r: F.transform(kept, lambda c: dated(c, r))))
+    rows = rows.select("AnimalID", "Location", "Year", cells.alias("cells"))
+    dosed = F.transform(F.filter("cells", lambda c: c["Dose"]), lambda c: c["Monday"])
+    facts = F.flatten(F.transform(F.array(dosed), lambda ds: F.transform("cells", lambda c: F.struct(
+        *[c[n].alias(n) for n in ("Week", "FEC", "Count", "Dose", "DoseText", "Monday")], since(c, ds).alias("LastDose")))))
+    return rows.select("AnimalID", "Location", "Year", F.inline(facts))
+
+
+def conform_facts(sheet: DataFrame, locations: DataFrame, header: DataFrame | None = None, row_is_animal: bool = False
                   ) -> DataFrame:
-    """Weekly facts of every farm-year sheet: unpivot, fold, raw count, Monday, LastDose."""
+    """Weekly facts of every farm-year sheet: count, treatment, raw count, Monday, LastDose.
+
+    With ``row_is_animal``, no animal having more than one row in a year's sheet, the week columns are folded inside
+    their row; otherwise they are unpivoted and grouped. Both give the same facts where the promise holds.
+    """
     keyed = sheet.withColumns({
         "AnimalID": X.make_key(F.col("Farm"), F.col("Name")),
         "Location": X.make_key(F.col("Farm"), F.col("Location"))})
-    known = locations.select("Farm", "Year", "Location", F.lit(True).alias("known"))
-    keyed = (keyed.join(known, ["Farm", "Year", "Location"], "left")
+    known = locations.select("Farm", "Year", "Location", F.lit(True).alias("known"), "Sensitivity")
+    keyed = (keyed.drop("Sensitivity").join(known, ["Farm", "Year", "Location"], "left")
              .withColumn("Location", F.when(F.col("known"), F.col("Location"))))
     ids = ["AnimalID", "Location", "Year"]
     offset = None
@@ -135,6 +194,8 @@ def conform_facts(sheet: DataFrame, locations: DataFrame, header: DataFrame | No
         missing = F.raise_error(F.concat(F.lit("no dates for the sheet of "), "Farm", F.lit(" in "), F.col("Year").cast("string")))
         keyed = dated.withColumn("WeekOffset", F.coalesce("WeekOffset", missing.cast("int")))
         ids, offset = ids + ["WeekOffset"], F.col("WeekOffset")
+    if row_is_animal:
+        return _facts_by_row(keyed, F.lit(0) if offset is None else offset)
     facts = fold_count_and_treatment(parse_observations(unpivot_weeks(keyed, ids), offset))
     facts = raw_count(facts, locations).withColumn(
         "Monday", cal.monday_of_week(F.col("Year"), F.col("Week")))

@@ -10,6 +10,7 @@ from herdcast.functions import expr as X
 from herdcast.operators import conform as cf
 from herdcast.operators import features as ft
 from herdcast.queries.base import age_band, dose_cat, dose_prop, query, r6, round_doubles, s6, wk
+from herdcast.session import materialise
 from herdcast.sources import readers, sinks
 
 _ANIMAL_KEY = "concat(Farm, '_', regexp_replace(Name, '\\s', '', 'g'))"
@@ -31,8 +32,8 @@ def load_locations(spark, d):
 SELECT AnimalID, Location, Year, Week, FEC, Count, Dose, DoseText, Monday,
   {s6("LastDose")} AS LastDose FROM fec""", ["fec"])
 def load_dosing_sheet(spark, d):
-    _, facts = readers.load_dosing_sheets(
-        fx.wide_sheet(spark, d), fx.locations(spark, d), validate=False)
+    landed = materialise(fx.wide_sheet(spark, d), "sheets")             # sheets are files; making them is no part of the load
+    _, facts = readers.load_dosing_sheets(landed, fx.locations(spark, d), validate=False)
     return facts.withColumn("LastDose", r6("LastDose"))
 
 

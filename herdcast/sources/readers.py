@@ -98,26 +98,28 @@ def load_dosing_sheets(sheet: DataFrame, locations: DataFrame, header: DataFrame
 
     ``sheet`` holds Farm, Year, the leading columns and F/T week columns as text; ``header``
     the row of dates of each sheet (omit it when the columns are calendar weeks already). Rows in an unknown field keep
-    their facts, with a null location.
+    their facts, with a null location. Where no animal has two rows in a year, which an aggregate over the keys tells, facts
+    are made inside their rows and nothing of the size of the cells is shuffled.
     """
     sheet = sheet.filter(F.col("Name").isNotNull() | F.col("Tag").isNotNull())
     if validate:
         validate_sheet(sheet, options)
-        long = conform.unpivot_weeks(sheet, ("Farm", "Year", "Name"))
-        C.require(C.text_in_count(long, options.drug_codes), "treatment in a count column")
+        C.require(C.drugs_in_counts(sheet, options.drug_codes), "treatment in a count column")
         _note_unknown_locations(sheet, locations)
         if header is not None:
             C.require(C.missing_dates(sheet, header), "sheet without dates")
+    by_row = not conform.repeated_animals(sheet)
     animals = conform.conform_animals(sheet, locations, options)
-    facts = conform.conform_facts(sheet, locations, header)
+    facts = conform.conform_facts(sheet, locations, header, by_row)
     if validate:
-        keyed = sheet.withColumn("AnimalID", X.make_key(F.col("Farm"), F.col("Name")))
-        cells = conform.parse_observations(conform.unpivot_weeks(keyed, ("AnimalID", "Year")))
-        C.require(C.one_obs_per_week(cells), "more than one observation in a week")
+        if not by_row or conform.several_columns_a_week(sheet.columns):
+            keyed = sheet.withColumn("AnimalID", X.make_key(F.col("Farm"), F.col("Name")))
+            cells = conform.parse_observations(conform.unpivot_weeks(keyed, ("AnimalID", "Year")))
+            C.require(C.one_obs_per_week(cells), "more than one observation in a week")
         C.require(C.negative_counts(facts), "negative count")
         before = stored or (None, None)
-        return (append_checked(before[0], animals, ("Farm", "AnimalID", "Year"), "animal"),
-                append_checked(before[1], facts, ("AnimalID", "Year", "Week"), "count"))
+        every = facts if before[1] is None and by_row else append_checked(before[1], facts, ("AnimalID", "Year", "Week"), "count")
+        return append_checked(before[0], animals, ("Farm", "AnimalID", "Year"), "animal"), every
     if stored is not None:
         return stored[0].unionByName(animals), stored[1].unionByName(facts)
     return animals, facts

@@ -138,6 +138,36 @@ def test_rows_in_unknown_fields_stay_without_location(spark, tables):
         readers.load_dosing_sheets(sheet(spark).withColumn("Location", F.lit("Back Field")), tables["Locations"])
 
 
+def test_facts_inside_their_rows(spark, tables):
+    """Folding inside a row gives what grouping gives: dates shifted by a header, several columns of a week, unknown fields,
+    weeks before the year, texts that are no numbers. No shuffle between the sheet and its facts."""
+    header = spark.createDataFrame([("North", 2001, None, "36983")], "Farm string, Year int, F12 string, F13 string")
+    wide = sheet(spark, F14="70").withColumns({"F13b": F.lit("90"), "T12b": F.lit("IVM"), "T30": F.when(F.col("Name") == "Al", "FBZ"),
+                                              "F31": F.lit(" 12 "), "F0": F.lit("5"), "T0": F.lit(" ")})
+    wide = wide.unionByName(wide.withColumns({"Name": F.concat("Name", F.lit("2")), "Location": F.lit("Back Field")}))
+    for dates in (header, None):
+        plain = cf.conform_facts(wide, tables["Locations"], dates)
+        inside = cf.conform_facts(wide, tables["Locations"], dates, row_is_animal=True)
+        assert inside.columns == plain.columns and inside.schema.simpleString() == plain.schema.simpleString()
+        assert sorted(map(str, inside.collect())) == sorted(map(str, plain.collect()))
+        assert inside.count() == 20                     # five weeks each: Al has no count in week 14, but a treatment in week 30
+    plan = cf.conform_facts(wide, F.broadcast(tables["Locations"]), row_is_animal=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    assert cf.repeated_animals(wide.unionByName(wide)) and not cf.repeated_animals(wide)
+    assert cf.several_columns_a_week(wide.columns) and not cf.several_columns_a_week(["F1", "T1", "F2", "Name"])
+
+
+def test_an_animal_with_two_rows_is_grouped(spark, tables):
+    """One name with two tags: both rows' cells are one animal's year, and two counts of a week are refused."""
+    two = sheet(spark, F13=None).where("Name = 'Bo'")
+    other = two.withColumns({"Tag": F.lit("9"), "F12": F.lit(None).cast("string"), "T13": F.lit(None).cast("string"), "F14": F.lit("8")})
+    _, facts = readers.load_dosing_sheets(two.unionByName(other), tables["Locations"], validate=False)
+    assert rows(facts, "AnimalID", "Week", "FEC", "LastDose") == [
+        ("North_Bo", 12, 150.0, float("inf")), ("North_Bo", 13, None, float("inf")), ("North_Bo", 14, 8.0, 1.0)]
+    with pytest.raises(C.CheckFailed, match="more than one observation"):
+        readers.load_dosing_sheets(two.unionByName(other.withColumn("F12", F.lit("1"))), tables["Locations"])
+
+
 def test_locations_and_weather_loads(spark, tables):
     raw = spark.createDataFrame([("A", "North Field", "None", "50")], "Farm string, Location string, Hygiene string, Sensitivity string")
     loc = readers.conform_locations(raw, 2001)
