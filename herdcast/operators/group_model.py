@@ -165,6 +165,33 @@ def fit_group_model(group: DataFrame, spec: ModelSpec = ModelSpec(), options: Op
                     (lambda: ar.every_block_effect(sums, folds, layout, levels["Farm"])) if blocks else None)
 
 
+def stored_group_fit(group: DataFrame, coefficients: dict[str, float], levels: dict[str, list[str]],
+                     terms: Sequence[str] = ModelSpec().terms) -> GroupFit:
+    """A fit made of stored coefficients, to predict with; every farm-year of ``group`` has them in place of a refit.
+
+    ``levels`` gives each factor's levels, the reference first, which a list of coefficients does not name. The stored
+    names have to be those of the formula. A missing value is a term that was left out. There are no random effects.
+    """
+    names = list(expand_terms(terms, levels))
+    if set(names) != set(coefficients):
+        odd = sorted(set(names) ^ set(coefficients))
+        raise ValueError(f"coefficients and formula differ in {odd[0]}")
+    design = expand_terms([t for t in terms if t != FARM_TERM], levels)
+    beta = np.array([np.nan if coefficients[n] is None else coefficients[n] for n in design], float)
+    farms = None
+    if FARM_TERM in terms:
+        known = {f: coefficients[f"Farm{f}"] for f in levels["Farm"][1:]}
+        farms = {levels["Farm"][0]: 0.0} | {f: float("nan") if v is None else v for f, v in known.items()}
+    fit = mx.Fit(beta, float("nan"), 0.0, 0.0, {}, float("nan"))
+    none = group.sparkSession.createDataFrame([], "Farm string, Year int, beta array<double>, farm_effect double, year_effect double, "
+                                              "sigma2 double, ratio_group double, ratio_year double")
+    weather = [c for c in group.columns if re.match(r"(Temp|RelHumid|AbsHumid)_", c)]
+    means = group.agg(*[F.avg(c).alias(c) for c in ("TotalAnimals", *weather)]).first().asDict()
+    # a farm without a stored level has no fold, and so no prediction
+    own = group if farms is None else group.join(_farm_table(group, farms).select("Farm"), "Farm", "left_semi")
+    return GroupFit(design, fit, _every_fold(own, none, fit, farms), levels, means, farms, terms)
+
+
 def _every_fold(group: DataFrame, folds: DataFrame, fit: mx.Fit, farms: dict[str, float] | None) -> DataFrame:
     """A fold for every farm-year of the frame: one without a usable row leaves nothing out."""
     effect = F.lit(0.0)

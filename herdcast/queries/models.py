@@ -15,7 +15,7 @@ from herdcast.plans import report, train
 from herdcast.queries.base import query, round_doubles, s6, scratch
 from herdcast.schema import DEFAULT_TERMS, ModelSpec
 from herdcast.session import materialise
-from herdcast.sources import sinks
+from herdcast.sources import readers, sinks
 
 _FITTED: dict[tuple, train.FittedModels] = {}
 
@@ -86,6 +86,28 @@ def design_matrix(spark, d):
     return round_doubles(stats.select(F.inline("m")))
 
 
+_GIVEN = {t: round(0.03 * (i % 5) - 0.05, 2) for i, t in enumerate(_TERMS)}
+_LEVELS = {"Farm": ["FARM_0", "FARM_1"], "Hygiene": ["None", "Automated", "Manual"]}
+
+
+@query("predict_group_stored", f"""
+SELECT Location, Year, Week, {s6(' + '.join(f'{v} * ({_term_sql(t)})' for t, v in _GIVEN.items()))} AS Prediction,
+  {s6(' + '.join(f'{v} * ({_term_sql(t)})' for t, v in _GIVEN.items() if not t.startswith('DoseProp')))} AS Untreated
+FROM full_rows""", ["full_rows"])
+def predict_group_stored(spark, d):
+    """Coefficients written as a list, read back, and applied to every location-week."""
+    t = herd(spark, d)
+    group = ft.group_model_data(t.fec, t.animal, t.locations, wx.rolling_weather(t.weather))
+    title = "Group Coefficients:"
+    names = [f"I({n})" if "^2" in n else n for n in _GIVEN]
+    lines = [(0, title, None), (1, "", None), *[(i + 2, n, v) for i, (n, v) in enumerate(zip(names, _GIVEN.values()))]]
+    path = scratch(spark, "given-coefficients")
+    sinks.write_coefficients(spark.createDataFrame(lines, "ord int, groupcoefnames string, groupcoefs double"), path)
+    fit = gm.stored_group_fit(group, readers.read_coefficients(spark, path)[title], _LEVELS)
+    return round_doubles(gm.predict_excluded(group, fit, "Prediction", "Untreated").select(
+        "Location", "Year", "Week", "Prediction", "Untreated"))
+
+
 @query("fit_group_lmm")
 def fit_group_lmm(spark, d):
     g = fitted(spark, d).group

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import warnings
 from collections.abc import Sequence
 
@@ -125,6 +126,25 @@ def load_dosing_sheets(sheet: DataFrame, locations: DataFrame, header: DataFrame
     return animals, facts
 
 
+def read_coefficients(spark: SparkSession, path: str) -> dict[str, dict[str, float | None]]:
+    """The written list of coefficients by section (a few hundred lines, one file); blank values are left-out terms."""
+    files = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(files) != 1:
+        raise C.CheckFailed("a coefficient list is one file")
+    out: dict[str, dict[str, float | None]] = {}
+    for line in csv.reader(files[0][0].splitlines()):
+        name, value = [*line, "", ""][:2]
+        if not value and name.endswith(":"):
+            section = out.setdefault(name, {})
+        elif name:
+            if not out:
+                raise C.CheckFailed(f"coefficient outside of a section: {name}")
+            if name in section:
+                raise C.CheckFailed(f"coefficient given twice: {name}")
+            section[name] = float(value) if value else None
+    return out
+
+
 def load_weather(raw: DataFrame, stored: DataFrame | None = None,
                  years: Sequence[int] | None = None, replace: bool = True,
                  validate: bool = True) -> DataFrame:

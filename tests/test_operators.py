@@ -8,6 +8,7 @@ from simulate import herd, monday
 from herdcast.operators import checks as C
 from herdcast.operators import conform as cf
 from herdcast.operators import features as ft
+from herdcast.operators import group_model as gm
 from herdcast.operators import joins as J
 from herdcast.operators import lags as L
 from herdcast.operators import weather as wx
@@ -250,3 +251,25 @@ def test_written_tables(spark, tables, tmp_path):
     half = sinks.next_season_sheets(sheet(spark, F12="100", F13="125")).filter("Name = 'Bo'").first()
     assert half.AvFEC == 112.0          # 112.5 rounds to even
     assert sinks.next_season_sheets(sheet(spark, Location="DEAD")).count() == 1
+
+
+def test_coefficients_are_read_back(spark, tmp_path):
+    """Sections, left-out terms and order survive; a formula with other names, and a name given twice, are refused."""
+    path = str(tmp_path / "list")
+    cols = "ord int, groupcoefnames string, groupcoefs double"
+    lines = [("Group Coefficients:", None), ("", None), ("(Intercept)", 1.5), ("FarmB", None), ("x", -2e-7), ("", None), ("Constants:", None), ("", None), ("sd", 0.7)]
+    sinks.write_coefficients(spark.createDataFrame([(i, *r) for i, r in enumerate(lines)], cols), path)
+    back = readers.read_coefficients(spark, path)
+    assert back == {"Group Coefficients:": {"(Intercept)": 1.5, "FarmB": None, "x": -2e-7}, "Constants:": {"sd": 0.7}}
+    group = spark.createDataFrame([("A", 2001, 3.0, 9), ("B", 2001, 4.0, 9), ("C", 2001, 4.0, 9), ("A", 2002, None, 9)],
+                                  "Farm string, Year int, x double, TotalAnimals int")
+    given = back["Group Coefficients:"]
+    fit = gm.stored_group_fit(group, given | {"x": 2.0}, {"Farm": ["A", "B"]}, ("factor(Farm)", "x"))
+    for predict in (gm.predict_single, gm.predict_excluded):
+        assert rows(predict(group, fit, "p"), "Farm", "Year", "p") == [
+            ("A", 2001, 7.5), ("A", 2002, None), ("B", 2001, 9.5), ("C", 2001, None)]
+    with pytest.raises(ValueError, match="differ in FarmB"):
+        gm.stored_group_fit(group, given, {"Farm": ["A"]}, ("factor(Farm)", "x"))
+    sinks.write_coefficients(spark.createDataFrame([(0, "S:", None), (1, "a", 1.0), (2, "a", 2.0)], cols), path)
+    with pytest.raises(C.CheckFailed, match="twice"):
+        readers.read_coefficients(spark, path)
