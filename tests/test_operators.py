@@ -210,6 +210,37 @@ def test_archive_round_trip(spark, tables, tmp_path):
         archive.load_archive(spark, path, years=(1990,))
 
 
+def test_a_save_that_dies_leaves_the_old_archive(spark, tables, tmp_path):
+    """The third table fails while it is written: the first version is still what is read, and the next save goes on from it."""
+    path = str(tmp_path / "archive")
+    archive.save_archive(tables, path)
+    new = {n: df.withColumn("Sensitivity", F.lit(7.0)) if n == "Locations" else df for n, df in tables.items()}
+    third = list(new)[2]
+    bad = new[third].withColumn("Year", F.when(F.rand() < 2, F.raise_error(F.lit("lost"))).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        archive.save_archive(new | {third: bad}, path, overwrite=True)
+    kept = archive.load_archive(spark, path)
+    assert rows(kept["Locations"], "Location", "Sensitivity") == rows(tables["Locations"], "Location", "Sensitivity")
+    assert kept[third].count() == tables[third].count()
+    archive.save_archive(new, path, overwrite=True)
+    assert archive.snapshot(spark, path)[0] == 2
+    assert {r[0] for r in archive.load_archive(spark, path)["Locations"].select("Sensitivity").collect()} == {7.0}
+    with pytest.raises(FileNotFoundError):
+        archive.load_archive(spark, str(tmp_path / "nothing"))
+
+
+def test_an_archive_without_manifest_is_read(spark, tables, tmp_path):
+    """Tables side by side in a folder, as archives were before snapshots, are version 0 and replaced only when asked."""
+    path = str(tmp_path / "archive")
+    for name, df in tables.items():
+        df.write.partitionBy("Year").parquet(f"{path}/{name}")
+    assert archive.load_archive(spark, path)["FEC"].count() == tables["FEC"].count()
+    with pytest.raises(FileExistsError):
+        archive.save_archive(tables, path)
+    archive.save_archive(tables, path, overwrite=True)
+    assert archive.snapshot(spark, path)[0] == 1
+
+
 def test_frames_hold_their_invariants(spark, tables):
     group = ft.group_rows(tables["FEC"], tables["Animal"], tables["Locations"])
     assert C.group_invariants(group).isEmpty()
