@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from herdcast.functions import expr as X
 from herdcast.operators import lags as L
 from herdcast.schema import Options
+from herdcast.session import materialise
 
 
 def season(options: Options) -> Column:
@@ -82,8 +83,11 @@ def group_model_data(fec: DataFrame, animal: DataFrame, locations: DataFrame, ro
 
 def individual_rows(fec: DataFrame, animal: DataFrame, locations: DataFrame,
                     options: Options = Options()) -> DataFrame:
-    """Counted animal-weeks of the season with animal, location and treatment attributes."""
-    loc = location_summary(animal, locations)
+    """Counted animal-weeks of the season with animal, location and treatment attributes.
+
+    The summary is written, so that its size is known: a few locations are then not met by a shuffle of all rows.
+    """
+    loc = materialise(location_summary(animal, locations), "summary")
     ani = animal.filter(F.col("Location").isNotNull()).drop("Field")
     rows = (filter_season(fec, options)
             .join(ani, ["AnimalID", "Location", "Year"], "left")

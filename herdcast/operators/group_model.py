@@ -255,13 +255,15 @@ def predict_excluded(df: DataFrame, g: GroupFit, name: str, without_doses: str |
                            (F.col("year_effect") + F.coalesce("farm_effect", F.lit(0.0))).alias("_ye"))
     out = df.join(folds, ["Farm", "Year"], "left")
 
-    def coef(i: int) -> Column:
-        return F.coalesce(F.col("_beta")[i], F.lit(0.0))
+    def dot(design: dict[str, Column]) -> Column:
+        # over arrays: written out, the terms make a method too long for the JVM to compile
+        parts = F.zip_with(F.array(*design.values()), "_beta", lambda x, b: F.coalesce(b, F.lit(0.0)) * x)
+        return F.aggregate(parts, F.lit(0.0), lambda a, v: a + v)
     known = F.col("_beta").isNotNull()
-    cols = {name: F.when(known, _dot(g.design, coef) + F.col("_ye"))}
+    cols = {name: F.when(known, dot(g.design) + F.col("_ye"))}
     if without_doses:
         rest = {k: (F.lit(0.0) if k.startswith("DoseProp") else c) for k, c in g.design.items()}
-        cols[without_doses] = F.when(known, _dot(rest, coef) + F.col("_ye"))
+        cols[without_doses] = F.when(known, dot(rest) + F.col("_ye"))
     return out.withColumns(cols).drop("_beta", "_ye")
 
 

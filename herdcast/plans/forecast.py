@@ -52,14 +52,19 @@ def forecast_features(fec: DataFrame, samplings: DataFrame) -> DataFrame:
     all lag bands take a single shuffle and sort.
     """
     facts = fec.select("AnimalID", "Location", "Year", "Week", "FEC", "Dose", "LastDose",
-                       F.lit(None).cast("string").alias("Kind"))
+                       F.lit(None).cast("array<string>").alias("Kinds"))
     animals = fec.select("AnimalID", "Location", "Year").distinct()
-    asked = (animals.join(target_weeks(samplings), ["Location", "Year"])
-             .select("AnimalID", "Location", "Year", F.explode("targets").alias("t"))
-             .select("AnimalID", "Location", "Year", F.col("t.Target").alias("Week"),
+    # a week asked for in both ways is one row in the frames
+    asked_weeks = target_weeks(samplings).select("Location", "Year", F.transform(
+        F.array_distinct("targets.Target"), lambda w: F.struct(w.alias("Week"), F.transform(
+            F.filter("targets", lambda t: t["Target"] == w), lambda t: t["Kind"]).alias("Kinds"))).alias("weeks"))
+    # written, so that its size is known: the animals are not shuffled by location to meet it
+    asked = (animals.join(materialise(asked_weeks, "asked"), ["Location", "Year"])
+             .select("AnimalID", "Location", "Year", F.explode("weeks").alias("t"))
+             .select("AnimalID", "Location", "Year", F.col("t.Week").alias("Week"),
                      F.lit(None).cast("double").alias("FEC"),
                      F.lit(None).cast("boolean").alias("Dose"),
-                     F.lit(None).cast("double").alias("LastDose"), F.col("t.Kind").alias("Kind")))
+                     F.lit(None).cast("double").alias("LastDose"), F.col("t.Kinds").alias("Kinds")))
     order = W.partitionBy("AnimalID", "Location", "Year").orderBy("Week")
 
     def band(near: int, far: int):
@@ -73,11 +78,14 @@ def forecast_features(fec: DataFrame, samplings: DataFrame) -> DataFrame:
     cols |= {n: F.coalesce(F.bool_or("Dose").over(band(*b)), F.lit(False))
              for n, b in L.DOSE_BANDS.items()}
     cols["ObservedFEC"] = F.max("FEC").over(order.rangeBetween(0, 0))
-    dose_week = F.when(F.col("Kind") == PAST, last_dose(1)).otherwise(last_dose(5))
-    cols["LastDose"] = F.coalesce(F.col("Week") - dose_week, F.lit(X.INF))
-    rows = facts.unionByName(asked).select("AnimalID", "Location", "Year", "Week", "Kind",
+    cols |= {"_past": last_dose(1), "_future": last_dose(5)}
+    rows = facts.unionByName(asked).select("AnimalID", "Location", "Year", "Week", "Kinds",
                                            *[c.alias(n) for n, c in cols.items()])
-    return rows.filter(F.col("Kind").isNotNull()).withColumnRenamed("Week", "Target")
+    dose_week = F.when(F.col("Kind") == PAST, F.col("_past")).otherwise(F.col("_future"))
+    return (rows.filter(F.col("Kinds").isNotNull()).withColumn("Kind", F.explode("Kinds"))
+            .withColumn("LastDose", F.coalesce(F.col("Week") - dose_week, F.lit(X.INF)))
+            .select("AnimalID", "Location", "Year", F.col("Week").alias("Target"), "Kind",
+                    *[n for n in cols if not n.startswith("_")], "LastDose"))
 
 
 def location_state(features: DataFrame, options: Options = Options()) -> DataFrame:

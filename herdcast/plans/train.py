@@ -45,6 +45,7 @@ class FittedModels:
     group_data: DataFrame
     rolling: DataFrame
     rows: DataFrame
+    every: DataFrame            # all individual rows with their predictions, the untrainable ones included
 
 
 def validate_tables(tables: HerdTables) -> None:
@@ -87,8 +88,8 @@ def location_history(rows: DataFrame) -> DataFrame:
 def training_rows(rows: DataFrame, spec: ModelSpec) -> DataFrame:
     own = ft.history_features(rows, spec.lastyear)
     out = own.filter(F.col("GroupPredictionNoTx").isNotNull())
-    return prepare_rows(out.join(location_history(rows), ["Location", "Year", "Week", "Monday"],
-                                 "left"), spec)
+    history = materialise(location_history(rows), "history")     # its size known, few location-weeks cost no shuffle of the rows
+    return prepare_rows(out.join(history, ["Location", "Year", "Week", "Monday"], "left"), spec)
 
 
 def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Options = Options(),
@@ -126,7 +127,7 @@ def fit_models(tables: HerdTables, spec: ModelSpec = ModelSpec(), options: Optio
     if not chain.converged:
         warnings.warn(f"the model did not converge in {chain.iterations} rounds", stacklevel=2)
     dispersion = fit_dispersion(prepare(train.withColumn("totpred", chain.total)))
-    return FittedModels(group, chain, dispersion, spec, options, group_data, rolling, train)
+    return FittedModels(group, chain, dispersion, spec, options, group_data, rolling, train, rows)
 
 
 def compare_without_last_year(tables: HerdTables, spec: ModelSpec = ModelSpec(),

@@ -11,7 +11,7 @@ from herdcast.operators import weather as wx
 from herdcast.plans import forecast as fc
 from herdcast.plans import report
 from herdcast.queries.base import query, r6, round_doubles, s6
-from herdcast.queries.models import fitted, herd, pm
+from herdcast.queries.models import fitted, herd_written, pm
 from herdcast.session import materialise
 
 
@@ -61,8 +61,8 @@ def limit_to_weather(spark, d):
 
 @query("group_residual_recent")
 def group_residual_recent(spark, d):
-    m, t = fitted(spark, d), herd(spark, d)
-    facts = fc.limit_to_weather(t.fec, m.rolling)
+    m, t = fitted(spark, d), herd_written(spark, d)
+    facts = materialise(fc.limit_to_weather(t.fec, m.rolling), "sheet-facts")
     samplings = ft.sampling_events(facts, t.animal, t.locations)
     attrs = t.animal.join(t.locations.select("Farm", "Location", "Year", "Hygiene"),
                           ["Farm", "Location", "Year"]).select(
@@ -75,13 +75,13 @@ def group_residual_recent(spark, d):
 
 @query("predict_animal")
 def predict_animal(spark, d):
-    t = herd(spark, d)
+    t = herd_written(spark, d)
     return fc.forward_predict(t.fec, t.animal, t.locations, fitted(spark, d))
 
 
 @query("prediction_decisions")
 def prediction_decisions(spark, d):
-    t = herd(spark, d)
+    t = herd_written(spark, d)
     _, decided = fc.get_predictions(t.fec, t.animal, t.locations, fitted(spark, d), pm(spark),
                                     fx.PM_THRESHOLD)
     return fc.prediction_report(decided)

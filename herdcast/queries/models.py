@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herdcast import fixtures as fx
@@ -18,6 +20,7 @@ from herdcast.session import materialise
 from herdcast.sources import readers, sinks
 
 _FITTED: dict[tuple, train.FittedModels] = {}
+_FACTS: dict[tuple, DataFrame] = {}
 
 
 def herd(spark, d) -> train.HerdTables:
@@ -25,16 +28,25 @@ def herd(spark, d) -> train.HerdTables:
                             fx.weather(spark, d))
 
 
+def herd_written(spark, d) -> train.HerdTables:
+    """The tables with the facts written, once per application: the fit and what is predicted with it read them."""
+    key, t = (spark.sparkContext.applicationId, d), herd(spark, d)
+    if key not in _FACTS:
+        _FACTS[key] = materialise(t.fec, "herd-facts")
+    return replace(t, fec=_FACTS[key])
+
+
 def fitted(spark, d) -> train.FittedModels:
     """The default fit of these tables, made once per application."""
     key = (spark.sparkContext.applicationId, d)
     if key not in _FITTED:
-        _FITTED[key] = train.fit_models(herd(spark, d), validate=False)   # weather starts after the first Monday
+        _FITTED[key] = train.fit_models(herd_written(spark, d), validate=False)   # weather starts after the first Monday
     return _FITTED[key]
 
 
 def forget() -> None:
     _FITTED.clear()
+    _FACTS.clear()
 
 
 def pm(spark) -> dict[str, float]:
@@ -126,9 +138,7 @@ def fit_group_lmm_excluding(spark, d):
 
 @query("predict_group")
 def predict_group(spark, d):
-    m = fitted(spark, d)
-    t = herd(spark, d)
-    return train.predicted_rows(t, m.group, m.rolling, m.options, m.spec).select(
+    return fitted(spark, d).every.select(
         "AnimalID", "Location", "Monday", "GroupPredictionIncTx", "GroupPredictionNoTx")
 
 
@@ -142,9 +152,7 @@ def prediction_grid(spark, d):
 
 @query("location_week_means")
 def location_week_means(spark, d):
-    m = fitted(spark, d)
-    rows = train.predicted_rows(herd(spark, d), m.group, m.rolling, m.options, m.spec)
-    return ft.location_week_means(rows, "GroupPredictionIncTx")
+    return ft.location_week_means(fitted(spark, d).every, "GroupPredictionIncTx")
 
 
 @query("location_residuals")
