@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdcast.llm.common import WordHash, materialise, mix64, numbered, pick, words_bytes
+from herdcast.llm.common import WordHash, materialise, mix64, numbered, pick, pieces_of, words_bytes
 
 
 @dataclass
@@ -65,7 +65,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 20_000, buckets: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHash(), np.zeros((2, buckets), np.int64)
-        for batch in batches:
+        for batch in pieces_of(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = np.bincount(ngrams(text, buckets, hashes), minlength=buckets)
                 counts[0] += own
@@ -115,7 +115,7 @@ def score(docs: DataFrame, sampler: Sampler) -> DataFrame:
     """doc_id, n_ngrams, log_weight, key and kept per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
-        for batch in batches:
+        for batch in pieces_of(batches):
             ids = batch.column(0).to_pylist()
             n, weight, key = sampler.scores(ids, batch.column(1).to_pylist(), hashes)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(weight), pa.array(key), pa.array(key >= sampler.least)],
@@ -130,7 +130,7 @@ def resample(docs: DataFrame, sampler: Sampler) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
-        for batch in batches:
+        for batch in pieces_of(batches):
             _, _, key = sampler.scores(batch.column(at).to_pylist(), batch.column(of).to_pylist(), hashes)
             yield batch.filter(pa.array(key >= sampler.least))
 

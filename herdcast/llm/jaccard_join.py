@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdcast.llm.common import WordHash, columns_of, materialise, mix64, packed, pick, unpacked, words_bytes
+from herdcast.llm.common import WordHash, columns_of, materialise, mix64, packed, pick, pieces_of, unpacked, words_bytes
 from herdcast.llm.graph import components
 
 
@@ -121,7 +121,7 @@ def sketches(docs: DataFrame, join: Join) -> DataFrame:
     """doc_id, n and the 128-bit digest h1, h2 of every document's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, lows = WordHash(), join.bounds(1 << 12)
-        for ids, texts in columns_of(batches, ("doc_id", "text")):
+        for ids, texts in columns_of(pieces_of(batches), ("doc_id", "text")):
             found = [(len(s), *digest(s)) for s in _sets(texts, join, hashes, lows)]
             columns = zip(*found, strict=True) if found else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in columns]],
@@ -134,7 +134,7 @@ def fine_keys(docs: DataFrame, join: Join) -> DataFrame:
     """(key, h1, n): a row for every fine fragment of every document. Equal sets met again in a partition are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, lows, seen = WordHash(), join.bounds(1 << 12), set()
-        for (texts,) in columns_of(batches, ("text",)):
+        for (texts,) in columns_of(pieces_of(batches), ("text",)):
             keys, ids, sizes = [], [], []
             for s in _sets(texts, join, hashes, lows):
                 one = digest(s)
@@ -159,7 +159,7 @@ def coarse_segments(texts: DataFrame, join: Join) -> DataFrame:
     has its size class and histograms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, lows = WordHash(), join.bounds(1 << 12)
-        for reps, h1s, h2s, texts in columns_of(batches, ("rep", "h1", "h2", "text")):
+        for reps, h1s, h2s, texts in columns_of(pieces_of(batches), ("rep", "h1", "h2", "text")):
             rows: list[tuple] = []
             for rep, h1, h2, s in zip(reps, h1s, h2s, _sets(texts, join, hashes, lows), strict=True):
                 if digest(s) != (h1, h2):
