@@ -190,3 +190,18 @@ def test_lm_scores_know_the_mixing_fold(spark):
         got = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs_of(spark, rows)).where("held_out").collect()}
         return got[fold[2][0]] - got[fold[2][1]]
     assert lead("qjvkzxw") > lead("wxzkvjq") + 4
+
+
+def test_lm_workers_hold_little_at_once(spark):
+    """Coding a slice of the vocabulary, but for what is learned in one step, holds the bits of few words."""
+    words = [b"w%06d " % i for i in range(30_000)]
+    n = np.ones(len(words), np.int64)
+    s = lm_scoring.Slice(0, words, np.zeros(len(words), np.int64), {"a": n, "b": n, "h": n})
+    prefix = bit_model.prefix_counts(words, s.kinds, n.astype(float))
+    tables = bit_model.Tables((np.zeros(1 << bit_model.LOW_BITS, np.uint8),) * 2)
+    import tracemalloc
+    tracemalloc.start()
+    cost = [bit_model.log2_cost(bit_model.bits_of_coded(coded, s.kinds[at], hashed=False), tables, bit_model.Mixer.fresh(), len(coded), own)
+            for at, coded, own in s.blocks(prefix)]
+    assert len(np.concatenate(cost)) == len(words) and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
