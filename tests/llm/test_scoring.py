@@ -205,3 +205,32 @@ def test_lm_workers_hold_little_at_once(spark):
             for at, coded, own in s.blocks(prefix)]
     assert len(np.concatenate(cost)) == len(words) and tracemalloc.get_traced_memory()[1] < 100 << 20
     tracemalloc.stop()
+
+
+def test_lm_counting_and_learning_hold_little_at_once():
+    """Neither makes an array of the whole table or of the bits of a whole step; in parts a step learns the same."""
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    words = sorted({b"%x " % v for v in rng.integers(0, 1 << 28, 30_000)})
+    s = lm_scoring.Slice(0, words, np.zeros(len(words), np.int64), {c: rng.integers(0, 9, len(words)) for c in "abh"})
+    zeros, ones = np.zeros(1 << 24), np.zeros(1 << 24)
+    tracemalloc.start()
+    for at, coded, _ in s.blocks():
+        bit_model.count_low(bit_model.bits_of_coded(coded, s.kinds[at], 24, hashed=False), s.counts["a"][at].astype(float), zeros, ones)
+    counting = tracemalloc.get_traced_memory()[1]
+
+    class Shared:
+        value = bit_model.Tables((bit_model.squeeze(zeros), bit_model.squeeze(ones))), {0: bit_model.NOTHING}, 24
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    got = next(lm_scoring._train(lm_scoring._mixing_blocks(iter([s]), Shared), bit_model.Mixer.fresh()))
+    learning = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert counting < 100 << 20 and learning < 150 << 20
+    assert [k for k, *_ in lm_scoring._mixing_blocks(iter([s]), Shared)] == [(0, 0)] * 5 + [(0, 1)]
+    once, parted = bit_model.Mixer.fresh(), bit_model.Mixer.fresh()
+    blocks = [tuple(b) for _, *b in lm_scoring._mixing_blocks(iter([s]), Shared)]
+    parts = [(x, gate, bits.bit, weight) for bits, x, gate, weight in blocks]
+    mass = bit_model.learn(parts, parted, 0.8)
+    bit_model.learn([tuple(np.concatenate(c, axis=-1) for c in zip(*parts, strict=True))], once, 0.8)
+    assert np.allclose(once.weights, parted.weights, rtol=1e-9) and got[2].sum() == mass.sum() * bit_model.INPUTS
