@@ -50,3 +50,20 @@ def test_a_week_asked_for_both_ways_is_one_row_of_the_frames(spark):
     assert got[20, "past"] == 6 and got[20, "future"] == 6 and got[16, "past"] == 2
     asked = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Generate explode" in line]
     assert any("Kinds" in line for line in asked)
+
+
+def test_sheet_weeks_are_sent_as_facts_not_as_wide_rows(spark, tmp_path):
+    """Facts are dealt by sheet row once; no row of 108 columns is sent or sorted before the row is whole."""
+    from herdcast import fixtures as fx
+    tables = {"supplier": ([(1, 0, 50.0), (2, 0, -1.0)], "s_suppkey long, s_nationkey int, s_acctbal double"),
+              "nation": ([(0, 0)], "n_nationkey int, n_regionkey int"), "region": ([(0, "AFRICA")], "r_regionkey int, r_name string"),
+              "lineitem": ([(1, "1995-03-07", 40.0, 7, "R"), (1, "1995-03-14", 20.0, 1, "N"), (2, "1995-03-07", 8.0, 1, "N"), (2, None, 8.0, 1, "N")],
+                           "l_suppkey long, l_shipdate string, l_quantity double, l_linenumber int, l_returnflag string")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    sheet = fx.wide_sheet(spark, str(tmp_path))
+    plan = sheet._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[plan.index("[first(if"):plan.index("[partial_first(if")]
+    got = {r["Name"]: {k: v for k, v in r.asDict().items() if k[0] in "FT" and k[1:].isdigit() and v is not None} for r in sheet.collect()}
+    weeks = sorted({int(k[1:]) for cells in got.values() for k in cells})
+    assert len(weeks) == 2 and got == {"S1": {f"F{weeks[0]}": "500.0", f"T{weeks[0]}": "FBZ", f"F{weeks[1]}": "250.0"}, "S2": {f"F{weeks[0]}": "100.0"}}
