@@ -234,3 +234,39 @@ def test_lm_counting_and_learning_hold_little_at_once():
     mass = bit_model.learn(parts, parted, 0.8)
     bit_model.learn([tuple(np.concatenate(c, axis=-1) for c in zip(*parts, strict=True))], once, 0.8)
     assert np.allclose(once.weights, parted.weights, rtol=1e-9) and got[2].sum() == mass.sum() * bit_model.INPUTS
+
+
+def test_lm_words_that_begin_alike_are_worked_on_once():
+    """Nodes give every word's counts, sums and cost, and are about as many as the bytes in which sorted words differ."""
+    rng = np.random.default_rng(8)
+    pairs = sorted({(int(k), b"%d " % v) for k, v in zip(rng.integers(0, 3, 4_000), rng.integers(0, 6_000, 4_000), strict=True)})
+    pairs += [(3, b"q" * 400 + b"a "), (3, b"q" * 400 + b"b "), (3, b"\xc3\xa4 "), (4, b"\xc3\xa4 ")]
+    kinds, coded = np.array([k for k, _ in pairs]), [w for _, w in pairs]
+    weight = rng.integers(0, 5, len(coded)).astype(float)
+    nodes = bit_model.Nodes.of(coded, kinds)
+    assert len(nodes.first) < 0.5 * len(nodes.data) and [k for k, w in enumerate(coded) if len(w) > 400] == [len(coded) - 4, len(coded) - 3]
+
+    through = {}                                     # brute force: weight by what is known before a bit, and the bit
+    for k, w, n in zip(kinds, coded, weight, strict=True):
+        bits = np.unpackbits(np.frombuffer(w, np.uint8)).tobytes()
+        for t in range(len(bits)):
+            through.setdefault((k, bits[:t]), [0.0, 0.0])[bits[t]] += n
+    every = [through[k, bits[:t]] for k, w in pairs for bits in [np.unpackbits(np.frombuffer(w, np.uint8)).tobytes()] for t in range(len(bits))]
+    assert np.array_equal(bit_model.node_counts(nodes, weight)[:, nodes.node].reshape(2, -1).T, every)
+    prefix = bit_model.prefix_counts(coded, kinds, weight)
+    first, last = bit_model.end_paths(coded, kinds, weight, 7, 9)
+    assert np.array_equal(first, prefix[:, :8]) and np.array_equal(last, prefix[:, -8 * len(coded[-1]):][:, :10])
+    assert np.array_equal(bit_model.end_paths([b"a "], np.zeros(1, int), np.ones(1), 3, -1)[0], [[1, 0, 0, 1], [0, 1, 1, 0]])
+
+    tables = []
+    for whole in (None, nodes):
+        counts = np.zeros(1 << bit_model.LOW_BITS), np.zeros(1 << bit_model.LOW_BITS)
+        bit_model.count_low(bit_model.bits_of_coded(coded, kinds, hashed=False, nodes=whole), weight if whole is None else whole.sums(weight), *counts)
+        tables.append(counts)
+    assert all(np.array_equal(x, y) for x, y in zip(*tables, strict=True))
+    tables = bit_model.Tables(tuple(bit_model.squeeze(c) for c in tables[0]))
+    mixer = bit_model.Mixer.fresh()
+    own = bit_model.bits_of_coded(coded, kinds, hashed=False, nodes=nodes)
+    each = bit_model.log2_cost(own, tables, mixer, len(nodes.first), bit_model.node_counts(nodes, weight).reshape(2, -1))
+    cost = bit_model.log2_cost(bit_model.bits_of_coded(coded, kinds, hashed=False), tables, mixer, len(coded), prefix)
+    assert np.allclose(np.bincount(nodes.word, each[nodes.node]), cost, rtol=1e-12)
