@@ -22,12 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdcast.llm.common import WordHash, columns_of, materialise, mix64, packed, pick, pieces_of, unpacked, words_bytes
+from herdcast.llm.common import materialise, mix64, packed, pick, pieces_of, unpacked
 from herdcast.llm.graph import components
 
+#: Ranges of a histogram, as a multiple of the largest difference of linked sets. Differences that fall into one range cancel
+#: out: of D over R ranges about D * D / (2 * R), so with 2 the histograms of hardly any two near copies are too far apart.
+RANGES = 4
+
 
 @dataclass(frozen=True)
 class Join:
@@ -49,22 +54,70 @@ class Join:
         return [*lows, max(low + 1, -(-low * 100 // self.percent)), low * 4]
 
 
-def shingles(words: list[bytes], width: int, hashes: WordHash) -> np.ndarray:
-    """Sorted distinct hashes of the word n-grams; a shorter text is one shingle; no words, none."""
-    if not words:
-        return np.empty(0, np.uint64)
-    h = hashes.array(words)
-    short = min(width, len(words))
-    n = len(words) - short + 1
-    out = np.full(n, short, np.uint64)
-    for k in range(short):
+def _text_hashes(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hash of every range of bytes: eight bytes at a time for all short ones, xxhash for longer ones."""
+    import xxhash
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(padded) - 7, np.uint64, padded, strides=(1,))
+    out, short = mix64(sizes.astype(np.uint64)), sizes <= 64
+    left = np.flatnonzero(short & (sizes > 0))
+    for at in range(0, 64, 8):
+        rest = np.minimum(sizes[left] - at, 8).astype(np.uint64)
+        v = eights[begins[left] + at] << (np.uint64(64) - np.uint64(8) * rest)
+        out[left] = mix64(out[left] * np.uint64(0x9E3779B97F4A7C15) ^ v)
+        left = left[sizes[left] > at + 8]
+        if not len(left):
+            break
+    for k in np.flatnonzero(~short).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[begins[k]:begins[k] + sizes[k]])
+    return out
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of every word, text after text, and the number of words of each text."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, owner = pc.list_flatten(found), pc.list_parent_indices(found).to_numpy()
+    _, edges, data = words.buffers()
+    edges = np.frombuffer(edges or b"", np.int64 if pa.types.is_large_string(words.type) else np.int32)
+    edges = edges[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    begins, sizes = edges[:-1], np.diff(edges)
+    filled = sizes > 0                    # white space at either end of a text leaves an empty word
+    hashes = _text_hashes(np.frombuffer(data or b"", np.uint8), begins[filled], sizes[filled])
+    return hashes, np.bincount(owner[filled], minlength=len(texts))
+
+
+def _shingled(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` among word hashes."""
+    n = max(0, len(h) - width + 1)
+    out = np.full(n, width, np.uint64)
+    for k in range(width):
         out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n])
-    return np.unique(out)
-
-
-def digest(s: np.ndarray) -> tuple[int, int]:
-    """128 bits of a set."""
-    return tuple(int(mix64(s ^ np.uint64(k)).sum(dtype=np.uint64).astype(np.int64)) for k in (0x51ED27, 0xA3C59AC2F1))
+    return out
+
+
+def shingles(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """Per text, sorted distinct hashes of the word n-grams; a shorter text is one shingle; no words, none."""
+    h, counts = word_hashes(texts)
+    runs, ends, sets = _shingled(h, width), np.cumsum(counts), []
+    for count, end in zip(counts.tolist(), ends.tolist(), strict=True):
+        begin = end - count
+        s = np.sort(runs[begin:end - width + 1]) if count >= width else _shingled(h[begin:end], count)[:count]
+        if (s[1:] == s[:-1]).any():
+            s = np.concatenate([s[:1], s[1:][s[1:] != s[:-1]]])
+        sets.append(s)
+    return sets
+
+
+def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of every set, as two arrays."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    begins, some = np.cumsum(sizes) - sizes, sizes > 0
+    out = np.zeros((2, len(sets)), np.uint64)
+    if some.any():
+        s = np.concatenate(sets)
+        for k, of in enumerate((0x51ED27, 0xA3C59AC2F1)):
+            out[k, some] = np.add.reduceat(mix64(s ^ np.uint64(of)), begins[some])
+    return out[0].view(np.int64), out[1].view(np.int64)
 
 
 def _cuts(n: int, join: Join, lows: list[int]) -> list[tuple[int, int]]:
@@ -99,33 +152,32 @@ def _fine_keys(s: np.ndarray, join: Join, lows: list[int]) -> np.ndarray:
         # up to ``slack`` fragments may be empty in both sets and tell nothing; sets with more
         # empty ones than that meet on the empty ones too
         keys.append(found[filled] if count - int(filled.sum()) <= slack else found)
-    return np.unique(np.concatenate(keys))
+    return np.concatenate(keys)
 
 
 def _histograms(s: np.ndarray, join: Join, lows: list[int]) -> tuple[int, list[np.ndarray]]:
     """The size class, and the counts of shingles by range of the order for it and the class below."""
     cuts = _cuts(len(s), join, lows)
-    counts = [np.bincount(_part(s, 2 * (d + 1)).astype(np.int64), minlength=2 * (d + 1)) for _, d in cuts]
+    counts = [np.bincount(_part(s, RANGES * (d + 1)).astype(np.int64), minlength=RANGES * (d + 1)) for _, d in cuts]
     return cuts[0][0], [np.minimum(c, 127).astype(np.int8) for c in (counts if len(counts) == 2 else [counts[0], counts[0][:0]])]
 
 
-def _sets(texts: list, join: Join, hashes: WordHash, lows: list[int]) -> Iterator[np.ndarray]:
-    for text in texts:
-        s = shingles(words_bytes(text), join.width, hashes)
-        if len(s) > lows[-4]:
-            lows[:] = join.bounds(2 * len(s))
-        yield s
+def _sets(texts: pa.Array, join: Join, lows: list[int]) -> list[np.ndarray]:
+    sets = shingles(texts, join.width)
+    most = max(map(len, sets), default=0)
+    if most > lows[-4]:
+        lows[:] = join.bounds(2 * most)
+    return sets
 
 
 def sketches(docs: DataFrame, join: Join) -> DataFrame:
     """doc_id, n and the 128-bit digest h1, h2 of every document's set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, lows = WordHash(), join.bounds(1 << 12)
-        for ids, texts in columns_of(pieces_of(batches), ("doc_id", "text")):
-            found = [(len(s), *digest(s)) for s in _sets(texts, join, hashes, lows)]
-            columns = zip(*found, strict=True) if found else [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(c, pa.int64()) for c in columns]],
-                                             names=["doc_id", "n", "h1", "h2"])
+        for batch in pieces_of(batches):
+            ids, texts = (batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "text"))
+            sets = shingles(texts, join.width)
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                                              *map(pa.array, digests(sets))], names=["doc_id", "n", "h1", "h2"])
 
     return docs.mapInArrow(run, "doc_id long, n long, h1 long, h2 long")
 
@@ -133,16 +185,16 @@ def sketches(docs: DataFrame, join: Join) -> DataFrame:
 def fine_keys(docs: DataFrame, join: Join) -> DataFrame:
     """(key, h1, n): a row for every fine fragment of every document. Equal sets met again in a partition are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, lows, seen = WordHash(), join.bounds(1 << 12), set()
-        for (texts,) in columns_of(pieces_of(batches), ("text",)):
+        lows, seen = join.bounds(1 << 12), set()
+        for batch in pieces_of(batches):
+            sets = _sets(batch.column(batch.schema.get_field_index("text")), join, lows)
             keys, ids, sizes = [], [], []
-            for s in _sets(texts, join, hashes, lows):
-                one = digest(s)
-                if not len(s) or one in seen:
+            for s, *one in zip(sets, *(d.tolist() for d in digests(sets)), strict=True):
+                if not len(s) or tuple(one) in seen:
                     continue
                 if len(seen) >= 1_000_000:
                     seen.clear()
-                seen.add(one)
+                seen.add(tuple(one))
                 own = _fine_keys(s, join, lows)
                 keys.append(own)
                 ids.append(np.full(len(own), one[0], np.int64))
@@ -158,12 +210,14 @@ def coarse_segments(texts: DataFrame, join: Join) -> DataFrame:
     """(rep, frag, tokens): the shingles of each candidate, by coarse fragment of the order; its first row also
     has its size class and histograms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, lows = WordHash(), join.bounds(1 << 12)
-        for reps, h1s, h2s, texts in columns_of(pieces_of(batches), ("rep", "h1", "h2", "text")):
+        lows = join.bounds(1 << 12)
+        for batch in pieces_of(batches):
+            reps, h1s, h2s, texts = (batch.column(batch.schema.get_field_index(n)) for n in ("rep", "h1", "h2", "text"))
+            sets = _sets(texts, join, lows)
+            own1, own2 = digests(sets)
+            same = (own1 == h1s.to_numpy()) & (own2 == h2s.to_numpy())     # otherwise it is another row with the same id
             rows: list[tuple] = []
-            for rep, h1, h2, s in zip(reps, h1s, h2s, _sets(texts, join, hashes, lows), strict=True):
-                if digest(s) != (h1, h2):
-                    continue              # another row with the same id
+            for rep, s in ((r, s) for r, s, is_it in zip(reps.to_pylist(), sets, same.tolist(), strict=True) if is_it):
                 edges = np.searchsorted(_part(s, join.fragments), np.arange(join.fragments + 1, dtype=np.uint64))
                 size_class, (own, low) = _histograms(s, join, lows)
                 for k in np.flatnonzero(edges[1:] > edges[:-1]):
@@ -189,8 +243,12 @@ def _can_link(join: Join) -> Column:
     return fits & (apart * (100 + join.percent) <= sizes * (100 - join.percent))
 
 
-def linked(pairs: DataFrame, segments: DataFrame, join: Join) -> DataFrame:
-    """The pairs (x, y, nx, ny) that link: partial overlaps by fragment, summed per pair."""
+def linked(pairs: DataFrame, segments: DataFrame, join: Join, few: bool = False) -> DataFrame:
+    """The pairs (x, y, nx, ny) that link: partial overlaps by fragment, summed per pair. Where they are ``few``, their
+    segments are picked out first, as otherwise all are shuffled for each side."""
+    if few:
+        ids = pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct()
+        segments = materialise(segments.select("rep", "frag", "tokens").join(ids, "rep", "left_semi"), "picked")
     cut = pairs.withColumn("frag", F.explode(F.sequence(F.lit(0), F.lit(join.fragments - 1))))
     one = segments.select(F.col("rep").alias("x"), "frag", F.col("tokens").alias("tx"))
     two = segments.select(F.col("rep").alias("y"), "frag", F.col("tokens").alias("ty"))
@@ -227,6 +285,15 @@ def _merged(roots: DataFrame, found: DataFrame) -> DataFrame:
     return materialise(roots.join(moved, "root", "left").select("rep", F.coalesce("to", "root").alias("root")), "class-roots")
 
 
+def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id may be among ``ids``, and few others, so that not all texts are shuffled to meet them. A set bit for
+    each id, in at most 2 ** 18 words, is all that is broadcast."""
+    spread = F.xxhash64("doc_id")
+    word, bit = F.pmod(spread, F.lit(1 << 18)).alias("word_"), F.pmod(F.shiftright(spread, 18), F.lit(64)).cast("int").alias("bit_")
+    words = ids.select(word, bit).groupBy("word_").agg(F.expr("bit_or(shiftleft(1L, bit_))").alias("bits_"))
+    return docs.select("*", word, bit).join(F.broadcast(words), "word_").where("getbit(bits_, bit_) = 1").select(*docs.columns)
+
+
 def class_roots(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """(rep, root) of every class of equal sets that meets another one: equal roots for linked classes."""
     by_size = Window.partitionBy("key").orderBy("n", "h1")
@@ -235,7 +302,7 @@ def class_roots(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     shared = materialise(near.where(_size_fits("before", "n", join) | _size_fits("n", "after", join)).select("key", "h1", "n"), "shared")
     met = materialise(shared.select("h1", "n").distinct().join(classes, ["h1", "n"]).select("rep", "of_id", "h1", "h2", "n"), "met")
     buckets = materialise(shared.join(met.select("h1", "n", "rep"), ["h1", "n"]).select("key", "rep", "n"), "buckets")
-    texts = docs.join(met.select(F.col("of_id").alias("doc_id"), "rep", "h1", "h2"), "doc_id").select("rep", "h1", "h2", "text")
+    texts = _likely(docs, met.select(F.col("of_id").alias("doc_id"))).join(met.select(F.col("of_id").alias("doc_id"), "rep", "h1", "h2"), "doc_id").select("rep", "h1", "h2", "text")
     segments = materialise(coarse_segments(texts, join), "segments")
     shapes = segments.where("class IS NOT NULL").select("rep", "class", "own", "low").join(met.select("rep", "n"), "rep")
 
@@ -246,7 +313,7 @@ def class_roots(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     roots, tried, every, rounds = met.select("rep", F.col("rep").alias("root")), more, False, 0
     key = Window.partitionBy("key")
     while True:
-        found = materialise(linked(more, segments, join), "found")
+        found = materialise(linked(more, segments, join, few=rounds > 0), "found")
         progress = not found.isEmpty()
         if progress:
             roots = _merged(roots, found)

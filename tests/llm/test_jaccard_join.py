@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward, clashing, docs_of, empty, sentence
 
@@ -92,3 +94,41 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(100) if i != 50] + [(200, 7), (300, 300)]
     out = {r.node: r.root for r in components(spark.createDataFrame(links, "x long, y long")).collect()}
     assert out == {**{i: 0 for i in range(51)}, **{i: 51 for i in range(51, 101)}, 200: 0}
+
+
+def test_sets_of_odd_texts():
+    rng = random.Random(9)
+    long = "y" * 64
+    texts = [None, "", " \n\t\x0b\x0c\r ", "word", " a b", "A b c ", "a b C\n", "a b c a b c", long, long + "z", "y" * 1000, "ÀB à\u3000b \x1c c",
+             *["".join(rng.choice("ab \n\tÄC\x0b") for _ in range(rng.randrange(80))) for _ in range(500)]]
+    for kind in (pa.string(), pa.large_string()):
+        for width in (1, 3):
+            found = J.shingles(pa.array(["before", *texts], kind).slice(1), width)
+            names = {}
+            for text, s in zip(texts, found, strict=True):
+                w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+                want = frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
+                assert len(s) == len(want) and (s[1:] > s[:-1]).all()
+                assert names.setdefault(want, s.tobytes()) == s.tobytes()
+            assert len(set(names.values())) == len(names)
+            assert len(set(zip(*(d.tolist() for d in J.digests(found)), strict=True))) == len(names)
+
+
+def test_histograms_rule_out_near_copies_that_do_not_link():
+    rng, join = np.random.default_rng(4), J.Join()
+    lows = join.bounds(4000)
+    for _ in range(20):
+        common = rng.integers(0, 2 ** 64, 800, dtype=np.uint64)
+        one, two = (np.sort(np.concatenate([common, rng.integers(0, 2 ** 64, 70, dtype=np.uint64)])) for _ in range(2))
+        (_, (x, _)), (_, (y, _)) = (J._histograms(s, join, lows) for s in (one, two))
+        assert np.abs(x.astype(int) - y.astype(int)).sum() > join.largest_difference(len(one) + len(two))
+
+
+def test_only_likely_texts_are_shuffled(spark):
+    rows = [(i, f"text {i}", "en", "a") for i in range(3000)] + [(7, "again", "en", "a"), (None, "no id", "en", "a"), (-(2 ** 62), "far", "en", "a")]
+    docs = docs_of(spark, rows)
+    kept = J._likely(docs, spark.createDataFrame([(7,), (2999,), (7,), (-(2 ** 62),), (10 ** 12,)], "doc_id long"))
+    assert kept.columns == docs.columns
+    out = Counter(r.text for r in kept.collect())
+    assert not Counter(["text 7", "again", "text 2999", "far"]) - out and out.total() < 20
+    assert J._likely(docs, spark.createDataFrame([], "doc_id long")).count() == 0
