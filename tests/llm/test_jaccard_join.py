@@ -119,7 +119,7 @@ def test_histograms_rule_out_near_copies_that_do_not_link():
     lows = join.bounds(4000)
     for _ in range(20):
         common = rng.integers(0, 2 ** 64, 800, dtype=np.uint64)
-        one, two = (np.sort(np.concatenate([common, rng.integers(0, 2 ** 64, 70, dtype=np.uint64)])) for _ in range(2))
+        one, two = (np.sort(np.concatenate([common, rng.integers(0, 2 ** 64, 54, dtype=np.uint64)])) for _ in range(2))
         (_, (x, _)), (_, (y, _)) = (J._histograms(s, join, lows) for s in (one, two))
         assert np.abs(x.astype(int) - y.astype(int)).sum() > join.largest_difference(len(one) + len(two))
 
