@@ -7,11 +7,12 @@ Documents meet only where a whole fragment is equal, which a shared passage alon
 about. Sets of similar size share one fine cut; each set takes part in its own size class and in the
 one below.
 
-Equal sets are merged first. Within a bucket, links are sought first between neighbours in size and
-with the first one, which joins a group of near copies without trying all its pairs. Pairs between parts
-that are still apart follow, all of them in the end, so no link between two components is missed. Before
-shingles are fetched for a pair, the difference of two small histograms over the order, which
-is no larger than the difference of the sets, rules most false pairs out.
+Some fragments are cut beyond the d + 1, so that linked sets agree on several; a set that meets others on
+fewer is dropped, and so is a pair. Equal sets are merged first. Within a large bucket, links are sought first
+between neighbours in size and with the first one, which joins a group of near copies without trying all its
+pairs. Pairs between parts that are still apart follow, all of them that meet often enough, so no link between two
+components is missed. Before shingles are fetched for a pair, the difference of two small histograms over the order,
+which is no larger than the difference of the sets, rules most false pairs out.
 """
 
 from __future__ import annotations
@@ -26,13 +27,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdcast.llm.common import materialise, mix64, packed, pick, pieces_of, unpacked
+from herdcast.llm.common import materialise, mix64, packed, pick, pieces_of, release, unpacked
 from herdcast.llm.graph import components
 
 #: Ranges of a histogram, as a multiple of the largest difference of linked sets. Differences that fall into one range cancel
 #: out: of D over R ranges about D * D / (2 * R), so with 2 the histograms of hardly any two near copies are too far apart.
 RANGES = 4
 
+#: In buckets of more rows, neighbours are tried first; in others all pairs at once.
+LARGE = 8
+
 
 @dataclass(frozen=True)
 class Join:
@@ -137,6 +141,20 @@ def _slack(differ: int, least: int) -> int:
     return 1 + math.ceil(empty + 5 * math.sqrt(empty))
 
 
+def _spare(differ: int) -> int:
+    """Fragments cut beyond those that find a linked pair: it agrees on so many more than one."""
+    return -(-differ // 16)
+
+
+def _least_shared(n: str, most: int, join: Join, larger: bool = False) -> Column:
+    """Keys a set of ``n`` shingles, ``most`` or fewer, has at least in common with one it links with, or only with a ``larger`` one."""
+    lows = join.bounds(2 * most)
+    spare = [_spare(join.largest_difference(lows[k + 1] + lows[k + 2] - 2)) for k in range(len(lows) - 4)]
+    least = [x if larger else min(spare[max(0, k - 1):k + 1]) for k, x in enumerate(spare)]
+    steps = [f"WHEN {n} >= {low} THEN {1 + x}" for low, x in zip(lows, least, strict=False)]
+    return F.expr(f"CASE {' '.join(reversed(steps))} ELSE 1 END") if steps else F.lit(1)
+
+
 def _fine_keys(s: np.ndarray, join: Join, lows: list[int]) -> np.ndarray:
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(s), dtype=np.uint64)])
     keys = [np.empty(0, np.uint64)]
@@ -144,7 +162,7 @@ def _fine_keys(s: np.ndarray, join: Join, lows: list[int]) -> np.ndarray:
         if differ == 0:
             continue                      # only equal sets can link here
         slack = _slack(differ, lows[scheme])
-        count = differ + 1 + slack
+        count = differ + 1 + slack + _spare(differ)
         edges = np.searchsorted(_part(s, count), np.arange(count + 1, dtype=np.uint64))
         tag = np.arange(count, dtype=np.uint64) + np.uint64(scheme << 32)
         found = mix64((sums[edges[1:]] - sums[edges[:-1]]) ^ mix64(tag))
@@ -243,12 +261,11 @@ def _can_link(join: Join) -> Column:
     return fits & (apart * (100 + join.percent) <= sizes * (100 - join.percent))
 
 
-def linked(pairs: DataFrame, segments: DataFrame, join: Join, few: bool = False) -> DataFrame:
-    """The pairs (x, y, nx, ny) that link: partial overlaps by fragment, summed per pair. Where they are ``few``, their
-    segments are picked out first, as otherwise all are shuffled for each side."""
-    if few:
-        ids = pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct()
-        segments = materialise(segments.select("rep", "frag", "tokens").join(ids, "rep", "left_semi"), "picked")
+def linked(pairs: DataFrame, segments: DataFrame, join: Join) -> DataFrame:
+    """The pairs (x, y, nx, ny) that link: partial overlaps by fragment, summed per pair. Their segments are picked out first,
+    as otherwise all are shuffled for each side."""
+    ids = pairs.select(F.explode(F.array("x", "y")).alias("rep")).distinct()
+    segments = materialise(segments.select("rep", "frag", "tokens").join(ids, "rep", "left_semi"), "picked")
     cut = pairs.withColumn("frag", F.explode(F.sequence(F.lit(0), F.lit(join.fragments - 1))))
     one = segments.select(F.col("rep").alias("x"), "frag", F.col("tokens").alias("tx"))
     two = segments.select(F.col("rep").alias("y"), "frag", F.col("tokens").alias("ty"))
@@ -294,56 +311,72 @@ def _likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select("*", word, bit).join(F.broadcast(words), "word_").where("getbit(bits_, bit_) = 1").select(*docs.columns)
 
 
+def _apart(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of the buckets that hold several parts; main is the bucket's largest part."""
+    key = Window.partitionBy("key")
+    placed = buckets.join(roots, "rep").repartition("key").withColumn("c", F.count("*").over(Window.partitionBy("key", "root")))
+    return materialise(placed.withColumn("main", F.max(F.struct("c", "root")).over(key)["root"])
+                       .withColumn("several", F.min("root").over(key) != F.max("root").over(key))
+                       .where("several").select("key", "rep", "n", "root", "main"), "apart")
+
+
+def _met_often(apart: DataFrame, most: int, join: Join) -> DataFrame:
+    """Pairs (rep, q) of different parts that meet in as many buckets as linked sets do at least."""
+    outside = apart.where("root <> main").select("key", "root", F.col("rep").alias("x"), F.col("n").alias("nx"))
+    inside = apart.select("key", F.col("root").alias("other"), "main", F.col("rep").alias("y"), F.col("n").alias("ny"))
+    small, once = F.least("nx", "ny"), (F.col("other") == F.col("main")) | (F.col("x") < F.col("y"))
+    fits = 100 * small >= join.percent * F.greatest("nx", "ny")
+    met = outside.join(inside, (outside["key"] == inside["key"]) & (F.col("root") != F.col("other")) & once & fits)
+    pairs = met.groupBy(F.least("x", "y").alias("rep"), F.greatest("x", "y").alias("q")).agg(F.count("*").alias("keys"), F.first(small).alias("n"))
+    return pairs.where(F.col("keys") >= _least_shared("n", most, join, larger=True)).select("rep", "q")
+
+
 def class_roots(classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
     """(rep, root) of every class of equal sets that meets another one: equal roots for linked classes."""
     by_size = Window.partitionBy("key").orderBy("n", "h1")
     near = (fine_keys(docs, join).repartition("key").distinct()
             .withColumn("before", F.lag("n").over(by_size)).withColumn("after", F.lead("n").over(by_size)))
     shared = materialise(near.where(_size_fits("before", "n", join) | _size_fits("n", "after", join)).select("key", "h1", "n"), "shared")
-    met = materialise(shared.select("h1", "n").distinct().join(classes, ["h1", "n"]).select("rep", "of_id", "h1", "h2", "n"), "met")
-    buckets = materialise(shared.join(met.select("h1", "n", "rep"), ["h1", "n"]).select("key", "rep", "n"), "buckets")
+    del near
+    release(docs.sparkSession)
+    most = classes.agg(F.max("n")).first()[0] or 0
+    enough = shared.groupBy("h1", "n").agg(F.count("*").alias("keys")).where(F.col("keys") >= _least_shared("n", most, join)).select("h1", "n")
+    met = materialise(enough.join(classes, ["h1", "n"]).select("rep", "of_id", "h1", "h2", "n"), "met")
+    key = Window.partitionBy("key")
+    buckets = materialise(shared.join(met.select("h1", "n", "rep"), ["h1", "n"]).select("key", "rep", "n")
+                          .withColumn("rows", F.count("*").over(key)).where("rows > 1"), "buckets")
     texts = _likely(docs, met.select(F.col("of_id").alias("doc_id"))).join(met.select(F.col("of_id").alias("doc_id"), "rep", "h1", "h2"), "doc_id").select("rep", "h1", "h2", "text")
     segments = materialise(coarse_segments(texts, join), "segments")
     shapes = segments.where("class IS NOT NULL").select("rep", "class", "own", "low").join(met.select("rep", "n"), "rep")
 
+    large = buckets.where(F.col("rows") > LARGE).drop("rows")
     order = Window.partitionBy("key").orderBy("n", "rep")
-    partners = buckets.select("rep", F.array(F.lag("rep").over(order), F.first("rep").over(
+    partners = large.select("rep", F.array(F.lag("rep").over(order), F.first("rep").over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias("qs"))
     more = materialise(_near_pairs(partners.select("rep", F.explode("qs").alias("q")), shapes, join), "pairs")
-    roots, tried, every, rounds = met.select("rep", F.col("rep").alias("root")), more, False, 0
-    key = Window.partitionBy("key")
+    roots, tried, rounds = met.select("rep", F.col("rep").alias("root")), more, 0
     while True:
-        found = materialise(linked(more, segments, join, few=rounds > 0), "found")
-        progress = not found.isEmpty()
-        if progress:
+        found = materialise(linked(more, segments, join), "found")
+        links = found.count()
+        if links:
             roots = _merged(roots, found)
-        if every:
-            return roots
-        # rows of buckets that still hold several parts; main is the bucket's largest part
-        placed = buckets.join(roots, "rep").withColumn("c", F.count("*").over(Window.partitionBy("key", "root")))
-        apart = materialise(placed.withColumn("main", F.max(F.struct("c", "root")).over(key)["root"])
-                            .withColumn("several", F.min("root").over(key) != F.max("root").over(key))
-                            .where("several").select("key", "rep", "n", "root", "main"), "apart")
-        if apart.isEmpty():
-            return roots
-        every = not progress or rounds >= 4
-        if every:
-            # what is outside the main parts against all of the bucket, compared in the join by histograms
-            shape = F.struct("rep", "n", "class", "own", "low")
-            outside = apart.where("root <> main").join(shapes.drop("n"), "rep").select("key", "root", shape.alias("x"))
-            inside = apart.join(shapes.drop("n"), "rep").select("key", F.col("root").alias("other"), "main", shape.alias("y"))
-            once = (F.col("other") == F.col("main")) | (F.col("x.rep") < F.col("y.rep"))
-            near_pairs = _ordered(outside.join(inside, (outside["key"] == inside["key"]) & (F.col("root") != F.col("other"))
-                                               & once & _can_link(join)).select("x", "y"))
-        else:
-            # neighbours in an order that changes with the round, then across parts only
-            shuffled = Window.partitionBy("key").orderBy(F.xxhash64("rep", F.lit(rounds)), "rep")
-            others = F.array(*[F.struct(F.lag("rep", k).over(shuffled).alias("q"), F.lag("root", k).over(shuffled).alias("rq")) for k in (1, 2, 3)])
-            rows = apart.select("rep", "root", others.alias("others")).select("rep", "root", F.inline("others"))
-            near_pairs = _near_pairs(rows.where("root <> rq").select("rep", "q"), shapes, join)
+        # neighbours in an order that changes with the round, then across parts only, as long as that joins many
+        apart = _apart(large, roots) if links and rounds < 5 else None
+        if apart is None or links * 100 < apart.select("rep").distinct().count() or apart.isEmpty():
+            break
+        shuffled = Window.partitionBy("key").orderBy(F.xxhash64("rep", F.lit(rounds)), "rep")
+        others = F.array(*[F.struct(F.lag("rep", k).over(shuffled).alias("q"), F.lag("root", k).over(shuffled).alias("rq")) for k in (1, 2, 3)])
+        rows = apart.select("rep", "root", others.alias("others")).select("rep", "root", F.inline("others"))
+        near_pairs = _near_pairs(rows.where("root <> rq").select("rep", "q"), shapes, join)
         more = materialise(near_pairs.join(tried.select("x", "y"), ["x", "y"], "left_anti"), "pairs")
         tried = tried.union(more)
         rounds += 1
+    # what is outside the main parts of all buckets against all of them
+    release(docs.sparkSession)
+    apart = _apart(buckets.drop("rows"), roots)
+    left = materialise(_met_often(apart, most, join).join(tried.select(F.col("x").alias("rep"), F.col("y").alias("q")), ["rep", "q"], "left_anti"), "left")
+    found = materialise(linked(materialise(_near_pairs(left, shapes, join), "pairs"), segments, join), "found")
+    return roots if found.isEmpty() else _merged(roots, found)
 
 
 def jaccard_join(docs: DataFrame, join: Join | None = None) -> DataFrame:

@@ -132,3 +132,42 @@ def test_only_likely_texts_are_shuffled(spark):
     out = Counter(r.text for r in kept.collect())
     assert not Counter(["text 7", "again", "text 2999", "far"]) - out and out.total() < 20
     assert J._likely(docs, spark.createDataFrame([], "doc_id long")).count() == 0
+
+
+@pytest.mark.parametrize("join", [J.Join(), J.Join(width=5, percent=80)])
+def test_linked_sets_meet_often_enough(spark, join):
+    """However the differences fall, down to one fragment each, linked sets have as many keys in common as is asked of them."""
+    rng, lows = np.random.default_rng(6), join.bounds(1 << 12)
+    sizes, shared = [], []
+    for n in [*range(1, 60), 90, 150, 400, 1200]:
+        base = np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
+        parts = J._part(base, 8 * n)
+        base = base[np.argsort(rng.permutation(8 * n)[parts.astype(int)])]        # what is dropped lies in as many fragments as it can
+        for dropped in range(n):
+            one, two = np.sort(base), np.sort(base[dropped:])
+            if 100 * len(two) < join.percent * len(one):
+                break
+            if dropped:
+                sizes.append((len(one), len(two)))
+                shared.append(len(np.intersect1d(J._fine_keys(one, join, lows), J._fine_keys(two, join, lows))))
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(sizes)], "i long, large long, small long")
+    least = df.select("i", *[J._least_shared(*a, join, larger=b).alias(c) for *a, b, c in
+                             [("small", 1200, True, "p"), ("small", 1200, False, "x"), ("large", 1200, False, "y")]]).orderBy("i").collect()
+    assert all(s >= max(r.p, r.x, r.y) for s, r in zip(shared, least, strict=True)) and max(r.p for r in least) > 5
+
+
+def test_texts_that_meet_by_chance_are_not_fetched(spark, monkeypatch):
+    """Long texts with a passage in common agree on a fragment here and there, too seldom to link."""
+    rng, fetched = random.Random(11), []
+    passage = [f"p{rng.randrange(10 ** 9)}" for _ in range(60)]
+    rows = [(i, " ".join([f"w{rng.randrange(10 ** 9)}" for _ in range(340)] + passage), "en", "a") for i in range(20)]
+    rows += [(100 + i, rows[i][1] + " end", "en", "a") for i in range(2)]
+
+    def counted(df, what, own=J.materialise):
+        out = own(df, what)
+        if what == "segments":
+            fetched.append(out.select("rep").distinct().count())
+        return out
+    monkeypatch.setattr(J, "materialise", counted)
+    assert got(J.jaccard_join(docs_of(spark, rows), J.Join(width=5, percent=80))) == brute(rows, 5, 80)
+    assert fetched[0] < 10
