@@ -270,3 +270,65 @@ def test_lm_words_that_begin_alike_are_worked_on_once():
     each = bit_model.log2_cost(own, tables, mixer, len(nodes.first), bit_model.node_counts(nodes, weight).reshape(2, -1))
     cost = bit_model.log2_cost(bit_model.bits_of_coded(coded, kinds, hashed=False), tables, mixer, len(coded), prefix)
     assert np.allclose(np.bincount(nodes.word, each[nodes.node]), cost, rtol=1e-12)
+
+
+def test_lm_contexts_reach_over_words(spark):
+    """A word's first bytes are coded after the last ones of the word before, so the order of words counts."""
+    rng = random.Random(12)
+    fold = {k: [i for i in range(900) if zlib.crc32(str(i).encode()) % 7 == k] for k in range(7)}
+    pair = lambda: [f"x{rng.choice('abcd')}q", f"v{rng.choice('abcd')}z"]
+    rows = [(i, " ".join(w for _ in range(30) for w in pair()), "en", "a") for k in (0, 1, 3, 6) for i in fold[k][:40]]
+    held_out = [w for _ in range(30) for w in pair()]
+    rows += [(fold[2][0], " ".join(held_out), "en", "a"), (fold[2][1], " ".join(sorted(held_out)), "en", "a")]
+    for options in ({}, {"frequent": 2}):
+        got = {r.doc_id: r for r in lm_scoring.lm_scores(docs_of(spark, rows), **options).where("held_out").collect()}
+        assert abs(got[fold[2][0]].base_score - got[fold[2][1]].base_score) < 1e-9
+        assert got[fold[2][0]].score > got[fold[2][1]].score + 20
+
+
+def test_lm_starts_and_rests_add_up_to_the_text(spark):
+    """Starts and words are counted as they stand in the texts, and cost as much as all bits of a text, coded one word after the other."""
+    rng = random.Random(13)
+    words = ["a", "b", "ab", "abc", "abcd", "b\u00e4", "\u00e4", "xyzzy" * 9]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(60)] + [None, " \n"]
+    fold = [zlib.crc32(str(i).encode()) % 7 for i in range(len(texts))]
+    want, streams = Counter(), []
+    for text, f in zip(texts, fold, strict=True):
+        data = (text or "").encode().lower()
+        kind, coded, stream = bit_model.kind_of(data), [w + b" " for w in data.split()] + [b"\n"], b"   "
+        streams.append((kind, coded, []))
+        for w in coded:
+            two = (w + b" ")[:2]
+            want[kind, w if w == b"\n" else w[:-1], "h" if f == 2 else "b" if f == 6 else "a"] += 1
+            want[kind, b" " + stream[-3:-1] + two, "h" if f == 2 else "b" if f == 6 else "a"] += 1
+            streams[-1][2].append(list(stream[-3:-1]))
+            stream += w
+    vocab = lm_scoring.vocabulary(docs_of(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()
+    assert {(r.kind, bytes(r.word), c): r[c] for r in vocab for c in "abh" if r[c]} == dict(want)
+
+    every = spark.createDataFrame(vocab)
+    starts = every.where(lm_scoring.IS_START)
+    slices = lm_scoring.sliced(every.where(f"NOT {lm_scoring.IS_START}")).withColumn("starts", lm_scoring.F.lit(False)).union(
+        lm_scoring.sliced(starts).withColumn("starts", lm_scoring.F.lit(True)))
+    of_words = slices.where("NOT starts")
+    beyond = lm_scoring.beyond_slices(of_words, lm_scoring.slice_ends(of_words), "ab") | {"starts": lm_scoring.start_weights(starts, "ab")}
+    tables = bit_model.Tables(lm_scoring.low_tables(slices, "ab", bit_model.LOW_BITS))
+    shared = spark.sparkContext.broadcast((tables, beyond, bit_model.LOW_BITS))
+    mixer = bit_model.Mixer.fresh()
+    cost = {(r.kind, bytes(r.word)): r.cost for r in lm_scoring.word_costs(every.where(f"NOT {lm_scoring.IS_START}"), slices, shared, mixer, "ab").collect()}
+
+    through, low = Counter(), (np.zeros(1 << bit_model.LOW_BITS), np.zeros(1 << bit_model.LOW_BITS))
+    bits_of = lambda w: np.unpackbits(np.frombuffer(w, np.uint8)).tobytes()
+    for (kind, coded, before), f in zip(streams, fold, strict=True):
+        if f != 2:
+            bits = bit_model.bits_of_coded(coded, np.full(len(coded), kind), hashed=False, before=np.array(before))
+            bit_model.count_low(bits, np.ones(len(coded)), *low)
+            through.update((kind, bits_of(w)[:t + 1]) for w in coded for t in range(8 * len(w)))
+    plain = bit_model.Tables(tuple(bit_model.squeeze(c) for c in low))
+    assert all(np.array_equal(x, y) for x, y in zip(plain.low, tables.low, strict=True))
+    for kind, coded, before in streams:
+        bits = bit_model.bits_of_coded(coded, np.full(len(coded), kind), hashed=False, before=np.array(before))
+        prefix = np.array([[through[kind, bits_of(w)[:t] + bytes([side])] for w in coded for t in range(8 * len(w))] for side in (0, 1)], float)
+        whole = bit_model.log2_cost(bits, plain, mixer, len(coded), prefix).sum() * -math.log10(2)
+        own = sum(cost[kind, w if w == b"\n" else w[:-1]] + cost[kind, b" " + bytes(two) + (w + b" ")[:2]] for w, two in zip(coded, before, strict=True))
+        assert abs(whole - own) < 1e-9 * abs(whole)
